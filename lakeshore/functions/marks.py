@@ -43,6 +43,8 @@ def as_literal(value, data_type: DataType) -> Column:
     """
     if value is None:
         return epoch_literal(data_type)
+    if isinstance(value, str):
+        return F.lit(value).cast(data_type)
     if isinstance(data_type, TimestampNTZType):
         return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     if isinstance(data_type, TimestampType):
