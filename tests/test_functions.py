@@ -1,0 +1,105 @@
+"""Column helpers: surrogate keys, key text, buckets, attribute maps, marks."""
+
+from __future__ import annotations
+
+import datetime as dt
+import hashlib
+
+from pyspark.sql import functions as F
+
+from lakeshore.context import PipelineContext
+from lakeshore.functions import (
+    attr,
+    bucket_of,
+    date_attrs,
+    epoch_literal,
+    key_text,
+    null_map,
+    null_safe_join_key,
+    num_attrs,
+    surrogate_key,
+    text_attrs,
+)
+from lakeshore.functions.attrs import NUM_MAP
+
+
+def test_surrogate_key_is_sha256_of_tag_and_key(spark):
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    sql_form = PipelineContext(env="dev")  # 'dev_erp_' + key
+    notebook_form = PipelineContext(env="dev", key_sep="")  # 'dev_erp' + key
+    out = df.select(
+        surrogate_key("k", sql_form).alias("a"), surrogate_key("k", notebook_form).alias("b")
+    ).collect()
+    by_key = {r.a: r.b for r in out}
+    assert hashlib.sha256(b"dev_erp_1").hexdigest() in by_key
+    assert by_key[hashlib.sha256(b"dev_erp_1").hexdigest()] == hashlib.sha256(b"dev_erp1").hexdigest()
+    # NULL natural key -> NULL surrogate (never joins)
+    assert (None, None) in [(r.a, r.b) for r in out]
+
+
+def test_ids_do_not_include_entity_name(spark):
+    ctx = PipelineContext()
+    df = spark.createDataFrame([(1, 1)], "customer int, product int")
+    r = df.select(surrogate_key("customer", ctx).alias("c"), surrogate_key("product", ctx).alias("p")).first()
+    assert r.c == r.p
+
+
+def test_key_text_keeps_composite_parts_apart(spark):
+    df = spark.createDataFrame([(1, 12), (11, 2), (1, None), (None, 1)], "a int, b int")
+    texts = [r[0] for r in df.select(key_text(["a", "b"])).collect()]
+    assert sorted(texts) == sorted(["1|12", "11|2", "1|", "|1"])
+    assert len(set(texts)) == 4
+
+
+def test_bucket_spreads_null_keys(spark):
+    df = spark.range(2000).select(F.lit(None).cast("int").alias("k"), F.col("id"))
+    buckets = {r[0] for r in df.select(bucket_of(["k"], 16, ["k", "id"])).distinct().collect()}
+    assert len(buckets) == 16
+    keyed = spark.range(50).select(F.col("id").alias("k"))
+    b = keyed.select(bucket_of(["k"], 16, ["k"]).alias("b")).collect()
+    assert all(0 <= r.b < 16 for r in b)
+
+
+def test_null_safe_join_key_never_matches_an_id(spark):
+    ctx = PipelineContext()
+    df = spark.createDataFrame([(None, 1), (None, 2), (5, 3)], "fk int, line int")
+    keyed = df.select(null_safe_join_key(surrogate_key("fk", ctx), ["line"]).alias("k")).collect()
+    salted = [r.k for r in keyed if r.k.startswith("~")]
+    assert len(salted) == 2 and len(set(salted)) == 2
+    assert any(len(r.k) == 64 for r in keyed)
+
+
+def test_attribute_maps_cast_values(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame(
+        [(Decimal("1.50"), 2.0, dt.datetime(2024, 1, 2, 13, 0), 7, "red")],
+        "cost decimal(19,4), weight double, ts timestamp, n int, color string",
+    )
+    out = df.select(
+        num_attrs(cost="cost", weight="weight").alias("n"),
+        date_attrs(sell="ts").alias("d"),
+        text_attrs(color="color", n="n").alias("t"),
+        null_map(NUM_MAP).alias("z"),
+    )
+    types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    assert types == {
+        "n": "map<string,double>",
+        "d": "map<string,date>",
+        "t": "map<string,string>",
+        "z": "map<string,double>",
+    }
+    r = out.select(
+        attr("n", "cost"), attr("d", "sell"), attr("t", "n"), attr("t", "absent"), F.col("z").isNull()
+    ).first()
+    assert tuple(r) == (1.5, dt.date(2024, 1, 2), "7", None, True)
+
+
+def test_epoch_literal_keeps_timestamp_type(spark):
+    r = spark.range(1).select(
+        epoch_literal(spark.range(1).select(F.lit("2020-01-01").cast("timestamp_ntz").alias("x")).schema["x"].dataType).alias("ntz"),
+        epoch_literal().alias("ltz"),
+    )
+    assert [f.dataType.simpleString() for f in r.schema.fields] == ["timestamp_ntz", "timestamp"]
+    v = r.first()
+    assert v.ntz == dt.datetime(1970, 1, 1)
