@@ -53,9 +53,11 @@ def _tagged_keys(pair: ReconcilePair) -> DataFrame:
     names = [f"_k{i}" for i in range(width)]
 
     def side(df: DataFrame, in_copy: int, in_source: int) -> DataFrame:
+        # keys keep their own type (cheaper to group than text; casts to text
+        # are not pushed into source queries), text only at the output
         cols = _resolve(df, pair.keys)
         return df.select(
-            *[c.cast("string").alias(n) for c, n in zip(cols, names)],
+            *[c.alias(n) for c, n in zip(cols, names)],
             F.lit(in_copy).alias("_in_copy"),
             F.lit(in_source).alias("_in_source"),
         )
