@@ -114,14 +114,21 @@ def ship_to_pairs(hdr: DataFrame) -> DataFrame:
     return hdr.select("CustomerID", F.col("ShipToAddressID").alias("AddressID")).distinct()
 
 
-def _silver(spark: SparkSession, sf_dir: str):
-    t = S.erp_tables(spark, sf_dir)
-    orders = conform_orders(t["salesorderheader"], t["salesorderdetail"], CTX)
-    products = conform_products(
-        t["product"], t["productcategory"], t["productmodel"],
-        t["productdescription"], t["productmodelproductdescription"], CTX,
+def _orders(spark: SparkSession, sf_dir: str, changed_since=None) -> DataFrame:
+    return conform_orders(
+        S.salesorderheader(spark, sf_dir), S.salesorderdetail(spark, sf_dir), CTX, changed_since=changed_since
+    )
+
+
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform_products(
+        S.product(spark, sf_dir),
+        S.productcategory(spark, sf_dir),
+        S.productmodel(spark, sf_dir),
+        S.productdescription(spark, sf_dir),
+        S.productmodelproductdescription(spark, sf_dir),
+        CTX,
     )
-    return t, orders, products
 
 
 # ---------------------------------------------------------------------------
@@ -169,14 +176,12 @@ def q_surrogate_keys(spark, sf_dir):
 
 
 def q_nest_unnest(spark, sf_dir):
-    t = S.erp_tables(spark, sf_dir)
-    orders = conform_orders(t["salesorderheader"], t["salesorderdetail"], CTX)
+    orders = _orders(spark, sf_dir)
     return inline_items(orders.select("id", "customer_fk", "order_date", "line_items"), "line_items")
 
 
 def q_nested_line_counts(spark, sf_dir):
-    t = S.erp_tables(spark, sf_dir)
-    orders = conform_orders(t["salesorderheader"], t["salesorderdetail"], CTX)
+    orders = _orders(spark, sf_dir)
     return orders.select("id", F.size("line_items").alias("n_lines"))
 
 
@@ -293,7 +298,7 @@ def q_conform_customers(spark, sf_dir):
 
 
 def q_conform_products(spark, sf_dir):
-    _, _, p = _silver(spark, sf_dir)
+    p = _products(spark, sf_dir)
     md = F.col("model_descriptions")
     return p.select(
         "id", "sku", "name", "list_price", "category_name", "parent_category_name", "model_name",
@@ -327,23 +332,19 @@ def _order_header_columns(orders: DataFrame) -> DataFrame:
 
 
 def q_conform_orders(spark, sf_dir):
-    _, orders, _ = _silver(spark, sf_dir)
-    return _order_header_columns(orders)
+    return _order_header_columns(_orders(spark, sf_dir))
 
 
 def q_conform_orders_changed(spark, sf_dir):
     """P9 restricted to orders changed after the snapshot's mark."""
-    t = S.erp_tables(spark, sf_dir)
     mark = mark_frame(header_snapshot(spark, sf_dir), "ModifiedDate").scalar()
-    orders = conform_orders(t["salesorderheader"], t["salesorderdetail"], CTX, changed_since=mark)
-    return _order_header_columns(orders)
+    return _order_header_columns(_orders(spark, sf_dir, changed_since=mark))
 
 
 def q_orders_flattened(spark, sf_dir):
-    t, orders, products = _silver(spark, sf_dir)
-    customers = conform_customers(t["customer"], CTX)
-    addresses = conform_addresses(t["address"], CTX)
-    return flatten_orders(orders, products, customers, addresses, CTX)
+    customers = conform_customers(S.customer(spark, sf_dir), CTX)
+    addresses = conform_addresses(S.address(spark, sf_dir), CTX)
+    return flatten_orders(_orders(spark, sf_dir), _products(spark, sf_dir), customers, addresses, CTX)
 
 
 def _reconcile_pairs(spark, sf_dir) -> list[ReconcilePair]:

@@ -31,8 +31,20 @@ DRIVER_TABLES = (
 )
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's (read-only) tables; the resolved read is reused
+    within an application, so a query that uses a table several times lists
+    and resolves its file once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 def _ts(text: str):
@@ -216,9 +228,10 @@ BUILDERS = {
 }
 
 
-def erp_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All ten source tables, keyed by source table name."""
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+def erp_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
+    """Source tables keyed by source table name (all ten, or ``names``)."""
+    names = names or list(BUILDERS)
+    return {name: BUILDERS[name](spark, sf_dir) for name in names}
 
 
 # ---------------------------------------------------------------------------
