@@ -16,8 +16,8 @@ from pyspark.sql.types import StructType
 
 from lakeshore.context import PipelineContext
 from lakeshore.operators.incremental import commit_mark, newer_than
-from lakeshore.operators.upsert import create_bucketed_table_like, upsert_table
-from lakeshore.plans.ingest import current_mark
+from lakeshore.operators.upsert import create_bucketed_table_like, hashable_columns, upsert_table
+from lakeshore.plans.ingest import bucket_for, current_mark
 from lakeshore.session import scratch_path
 from lakeshore.specs import DatasetSpec
 
@@ -39,6 +39,7 @@ def landing_batch_writer(ctx: PipelineContext, spec: DatasetSpec):
             buckets=spec.buckets,
             stamp=spec.watermark_column,
             guard_mark=mark,
+            bucket=bucket_for(spec, hashable_columns(batch)),
         )
         if result.max_stamp is not None and result.max_stamp != mark:
             commit_mark(spark, ctx.control_db, target, result.max_stamp)
