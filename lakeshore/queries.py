@@ -347,21 +347,44 @@ def q_orders_flattened(spark, sf_dir):
     return flatten_orders(_orders(spark, sf_dir), _products(spark, sf_dir), customers, addresses, CTX)
 
 
+# Reconciled tables: (table name, copy, source, key). The order tables have
+# a stale copy and purged source rows; the other seven are reconciled against
+# an identical copy, where nothing may be reported.
+RECONCILED = (
+    ("sales_order_header", "snap_h", "now_h", ("SalesOrderID",)),
+    ("sales_order_detail", "snap_d", "now_d", ("SalesOrderID", "SalesOrderDetailID")),
+    ("customer_address", "snap_ca", "now_ca", ("CustomerID", "AddressID")),
+    ("address", "address", "address", ("AddressID",)),
+    ("customer", "customer", "customer", ("CustomerID",)),
+    ("product", "product", "product", ("ProductID",)),
+    ("product_category", "productcategory", "productcategory", ("ProductCategoryID",)),
+    ("product_description", "productdescription", "productdescription", ("ProductDescriptionID",)),
+    ("product_model", "productmodel", "productmodel", ("ProductModelID",)),
+    (
+        "product_model_description",
+        "productmodelproductdescription",
+        "productmodelproductdescription",
+        ("ProductModelID", "ProductDescriptionID"),
+    ),
+)
+
+
 def _reconcile_pairs(spark, sf_dir) -> list[ReconcilePair]:
     snap_h = header_snapshot(spark, sf_dir)
     now_h = header_source_now(spark, sf_dir)
-    return [
-        ReconcilePair("sales_order_header", snap_h, now_h, ("SalesOrderID",)),
-        ReconcilePair(
-            "sales_order_detail",
-            detail_snapshot(spark, sf_dir),
-            detail_source_now(spark, sf_dir),
-            ("SalesOrderID", "SalesOrderDetailID"),
-        ),
-        ReconcilePair(
-            "customer_address", ship_to_pairs(snap_h), ship_to_pairs(now_h), ("CustomerID", "AddressID")
-        ),
-    ]
+    frames = {
+        "snap_h": lambda: snap_h,
+        "now_h": lambda: now_h,
+        "snap_d": lambda: detail_snapshot(spark, sf_dir),
+        "now_d": lambda: detail_source_now(spark, sf_dir),
+        "snap_ca": lambda: ship_to_pairs(snap_h),
+        "now_ca": lambda: ship_to_pairs(now_h),
+    }
+    pairs = []
+    for table, copy, src, keys in RECONCILED:
+        build = lambda name: frames[name]() if name in frames else S.BUILDERS[name](spark, sf_dir)
+        pairs.append(ReconcilePair(table, build(copy), build(src), keys))
+    return pairs
 
 
 def q_fk_full_outer_single(spark, sf_dir):
@@ -676,22 +699,16 @@ LEFT JOIN addresses ba ON h.BillToAddressID = ba.AddressID""",
     "fk_full_outer_composite": _with(_RECONCILE_CTES) + "\n"
     + _foj_missing("sales_order_detail", "snap_d", "now_d", ["SalesOrderID", "SalesOrderDetailID"]),
     "validation_keys": _with(_RECONCILE_CTES) + "\nSELECT table_name, pk, max(missing_in) AS missing_in FROM ("
-    + _foj_missing("sales_order_header", "snap_h", "now_h", ["SalesOrderID"])
-    + "\n UNION \n"
-    + _foj_missing("sales_order_detail", "snap_d", "now_d", ["SalesOrderID", "SalesOrderDetailID"])
-    + "\n UNION \n"
-    + _foj_missing("customer_address", "snap_ca", "now_ca", ["CustomerID", "AddressID"])
+    + "\n UNION \n".join(_foj_missing(t, c, s_, list(k)) for t, c, s_, k in RECONCILED)
     + "\n) u GROUP BY table_name, pk",
     "validation_totals": _with(_RECONCILE_CTES) + """
 SELECT table_name, max(source_count) AS source_count, max(bronze_count) AS bronze_count,
        max(source_count) = max(bronze_count) AS totals_do_match
-FROM (
-  SELECT 'sales_order_header' AS table_name, NULL::BIGINT AS source_count, count(*) AS bronze_count FROM snap_h
-  UNION SELECT 'sales_order_header', count(*), NULL FROM now_h
-  UNION SELECT 'sales_order_detail', NULL, count(*) FROM snap_d
-  UNION SELECT 'sales_order_detail', count(*), NULL FROM now_d
-  UNION SELECT 'customer_address', NULL, count(*) FROM snap_ca
-  UNION SELECT 'customer_address', count(*), NULL FROM now_ca
+FROM (""" + "\n  UNION ".join(
+        f"SELECT '{t}' AS table_name, NULL::BIGINT AS source_count, count(*) AS bronze_count FROM {c}"
+        f"\n  UNION SELECT '{t}', count(*), NULL FROM {s_}"
+        for t, c, s_, _ in RECONCILED
+    ) + """
 ) u GROUP BY table_name""",
     "validation_gate": _with(
         f"snap_h AS ({_HDR_SNAPSHOT})",
