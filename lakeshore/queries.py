@@ -196,7 +196,7 @@ def q_language_map(spark, sf_dir):
         m.getItem("de").alias("desc_de"),
         m.getItem("fr").alias("desc_fr"),
         m.getItem("es").alias("desc_es"),
-        F.size(m).alias("n_cultures"),
+        F.when(m.isNotNull(), F.size(m)).alias("n_cultures"),
     )
 
 
@@ -304,7 +304,7 @@ def q_conform_products(spark, sf_dir):
         "id", "sku", "name", "list_price", "category_name", "parent_category_name", "model_name",
         md.getItem("en").alias("desc_en"),
         md.getItem("de").alias("desc_de"),
-        F.size(md).alias("n_descriptions"),
+        F.when(md.isNotNull(), F.size(md)).alias("n_descriptions"),  # NULL map -> NULL in any ANSI mode
         attr("_num_attrs", "cost").alias("cost"),
         attr("_num_attrs", "weight").alias("weight"),
         attr("_date_attrs", "sell_start_ts").alias("sell_start_ts"),
