@@ -82,7 +82,8 @@ def main() -> None:
         app_name="lakeshore-bench",
         shuffle_partitions=max(8, 2 * cpus),
         warehouse_dir=tempfile.mkdtemp(prefix="lakeshore-bench-wh-"),
-        extra_conf={"spark.driver.memory": "16g"},
+        # in-memory catalog: a local embedded metastore would serialise all DDL
+        extra_conf={"spark.driver.memory": "16g", "spark.sql.catalogImplementation": "in-memory"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     timings: dict[str, float] = {}

@@ -23,6 +23,9 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # concurrent table jobs (one driver thread each) share the executors
+    # instead of queueing behind the largest table
+    "spark.scheduler.mode": "FAIR",
 }
 
 
@@ -47,7 +50,7 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in conf.items():
-        if not key.startswith("spark.ui") and not key.startswith("spark.sql.warehouse"):
+        if key.startswith("spark.sql.") and not key.startswith("spark.sql.warehouse"):
             try:
                 spark.conf.set(key, value)
             except Exception:  # static conf of an already running session
@@ -82,14 +85,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def local_test_session(partitions: int = 8) -> SparkSession:
-    """Session used by tests: local mode, small shuffle, private warehouse."""
+    """Session used by tests: local mode, small shuffle, private warehouse.
+
+    The catalog is kept in memory: the embedded single-connection metastore a
+    local session would otherwise start serialises every DDL statement (a
+    cluster uses its own metastore service).
+    """
     warehouse = tempfile.mkdtemp(prefix="lakeshore-wh-")
     spark = build_session(
         master=os.environ.get("LAKESHORE_MASTER", "local[8]"),
         app_name="lakeshore-tests",
         shuffle_partitions=partitions,
         warehouse_dir=warehouse,
-        extra_conf={"spark.driver.memory": "8g"},
+        extra_conf={"spark.driver.memory": "8g", "spark.sql.catalogImplementation": "in-memory"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
