@@ -1,0 +1,109 @@
+"""Hot keys: a third of the lines with a NULL product, a third on one product,
+a third of the orders on one customer and without ship-to address.
+
+The gold report must be the same whether Spark broadcasts the dimensions or
+runs sort-merge joins with AQE splitting the skewed partitions, and NULL keys
+must not collapse into one shuffle partition.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeshore.context import PipelineContext
+from lakeshore.functions.keys import surrogate_key
+from lakeshore.plans.serve import flatten_orders, order_lines
+from tests.conftest import rows
+
+CTX = PipelineContext()
+N_ORDERS = 600
+
+
+def _frames(spark):
+    ids = spark.range(N_ORDERS).withColumnRenamed("id", "o")
+    lines = ids.select("o", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("pos"))  # 3 lines per order
+    line_items = lines.select(
+        "o",
+        F.struct(
+            surrogate_key(F.col("o") * 10 + F.col("pos"), CTX).alias("line_item_id"),
+            F.when(F.col("pos") == 0, F.lit(None).cast("string"))
+            .when(F.col("pos") == 1, surrogate_key(F.lit(1), CTX))
+            .otherwise(surrogate_key(F.col("o") % 50, CTX))
+            .alias("product_fk"),
+            F.col("pos").cast("double").alias("quantity"),
+            F.lit(1.5).alias("unit_price"),
+            F.lit(0.0).alias("discount"),
+        ).alias("item"),
+    )
+    nested = line_items.groupBy("o").agg(F.collect_list("item").alias("line_items"))
+    orders = nested.select(
+        surrogate_key("o", CTX).alias("id"),
+        F.when(F.col("o") % 3 == 0, surrogate_key(F.lit(7), CTX)).otherwise(surrogate_key("o", CTX)).alias("customer_fk"),
+        F.when(F.col("o") % 3 == 0, F.lit(None).cast("string")).otherwise(surrogate_key(F.col("o") % 20, CTX)).alias("shto_address_fk"),
+        surrogate_key(F.col("o") % 20, CTX).alias("blto_address_fk"),
+        F.lit("2024-01-01").cast("date").alias("order_date"),
+        "line_items",
+        F.lit(True).alias("was_online_order"),
+        F.lit("GROUND").alias("shipping_method"),
+        F.create_map(F.lit("ship_date"), F.lit("2024-01-05").cast("date")).alias("_date_attrs"),
+        F.lit(CTX.source_id).alias("_source_id"),
+    )
+    products = spark.range(50).select(
+        surrogate_key("id", CTX).alias("id"),
+        F.concat(F.lit("p"), F.col("id").cast("string")).alias("name"),
+        F.lit("sku").alias("sku"),
+        F.lit(1.0).alias("list_price"),
+        F.lit(None).cast("string").alias("category_name"),
+        F.lit(None).cast("string").alias("parent_category_name"),
+        F.lit("m").alias("model_name"),
+        F.create_map(F.lit("en"), F.lit("desc")).alias("model_descriptions"),
+    )
+    customers = spark.range(N_ORDERS).select(
+        surrogate_key("id", CTX).alias("id"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("name"),
+        F.lit("co").alias("company"),
+    )
+    addresses = spark.range(20).select(
+        surrogate_key("id", CTX).alias("id"),
+        F.lit("line").alias("full_address"),
+        F.concat(F.lit("city"), F.col("id").cast("string")).alias("city"),
+        F.lit(None).cast("string").alias("state"),
+        F.lit("XX").alias("country"),
+        F.lit("000").alias("postcode"),
+    )
+    return orders, products, customers, addresses
+
+
+def test_gold_is_the_same_under_skew_handling(spark):
+    orders, products, customers, addresses = _frames(spark)
+    expected = rows(flatten_orders(orders, products, customers, addresses, CTX))
+    assert len(expected) == N_ORDERS * 3
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in forced}
+    try:
+        for k, v in forced.items():
+            spark.conf.set(k, v)
+        got = rows(flatten_orders(orders, products, customers, addresses, CTX))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == expected
+
+
+def test_null_product_keys_are_spread(spark):
+    orders, *_ = _frames(spark)
+    lines = order_lines(orders, CTX)
+    nulls = lines.where(F.col("product_fk").isNull())
+    assert nulls.count() == N_ORDERS
+    assert nulls.select("_p_key").distinct().count() == N_ORDERS
+    # spread over the shuffle partitions roughly evenly
+    share = (
+        nulls.groupBy(F.pmod(F.hash("_p_key"), F.lit(16)).alias("p")).count().agg(F.max("count")).first()[0]
+    )
+    assert share < N_ORDERS / 4
