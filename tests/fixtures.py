@@ -52,18 +52,18 @@ BATCH1 = {
         (5, "5 Elm St", None, "Boston", "MA", "US", "02101", EPOCH),
     ],
     "customer": [
-        (1, "Mr.", "John", "Q", "Public", None, "Acme Bikes", "rep\\jae0", "john@mail.test", "555-0100", T0),
-        (2, "Ms.", "Jane", None, "Doe", "Jr.", "Beta Cycles", "rep\\linda3", "jane@mail.test", "555-0101", T0),
+        (1, "Mr.", "John", "Q", "Public", None, "Acme Bikes", "rep-01", "john@mail.test", "555-0100", T0),
+        (2, "Ms.", "Jane", None, "Doe", "Jr.", "Beta Cycles", "rep-02", "jane@mail.test", "555-0101", T0),
     ],
     "customeraddress": [(1, 12, T0), (11, 2, T0), (2, 2, T0)],
     "product": [
-        (680, "HL Road Frame", "FR-R92B-58", "Black", D("1059.3100"), D("1431.5000"), "58", D("1016.04"),
+        (680, "Road Frame 58", "FR-58-BK", "Black", D("1059.3100"), D("1431.5000"), "58", D("1016.04"),
          18, 6, SELL, None, None, T0),
-        (706, "Sport Helmet", "HL-U509-R", "Red", D("13.0863"), D("34.9900"), None, None,
+        (706, "Sport Helmet", "HM-100-R", "Red", D("13.0863"), D("34.9900"), None, None,
          None, 33, SELL, dt.datetime(2022, 1, 1), None, T0),
-        (707, "Racing Socks", "SO-R809-M", None, D("3.3963"), D("8.9900"), "M", None,
+        (707, "Racing Socks", "SK-200-M", None, D("3.3963"), D("8.9900"), "M", None,
          3, 35, SELL, None, dt.datetime(2023, 6, 30), T0),
-        (708, "Touring Tire", "TI-T723", None, D("9.3463"), D("28.9900"), None, None,
+        (708, "Touring Tire", "TR-300", None, D("9.3463"), D("28.9900"), None, None,
          41, 36, SELL, None, None, T0),
     ],
     "productcategory": [
@@ -71,23 +71,23 @@ BATCH1 = {
         (3, None, "Components", T0),
         (41, 77, "Tires", T0),
     ],
-    "productmodel": [(6, "HL Road Frame", T0), (33, "Sport-100", T0), (35, "Racing Socks", T0), (36, "Touring Tire", T0)],
+    "productmodel": [(6, "Road Frame 58", T0), (33, "Helmet One", T0), (35, "Racing Socks", T0), (36, "Touring Tire", T0)],
     "productdescription": [(1, "Light frame", T0), (2, "Cadre léger", T0), (3, None, T0)],
     "productmodelproductdescription": [
         (6, 1, "en", T0), (6, 2, "fr", T0), (33, 3, "en", T0), (36, 2, "fr", T0),
     ],
     "salesorderheader": [
-        (71774, 2, T0, T0 + dt.timedelta(days=12), T0 + dt.timedelta(days=7), 5, False, "SO71774",
-         "PO348186287", "10-4020-000609", 1, 1, 2, "CARGO TRANSPORT 5", T0),
-        (71776, 2, T0, T0 + dt.timedelta(days=12), T0 + dt.timedelta(days=7), 5, True, "SO71776",
-         "PO19952192051", "10-4020-000106", 2, None, 2, "CARGO TRANSPORT 5", T0),
-        (71780, 1, T0, None, None, 1, False, "SO71780", None, "10-4020-000340", 1, 1, 1, "OVERNIGHT", T0),
+        (5001, 2, T0, T0 + dt.timedelta(days=12), T0 + dt.timedelta(days=7), 5, False, "SO5001",
+         "PO-1001", "AC-0001", 1, 1, 2, "FREIGHT", T0),
+        (5002, 2, T0, T0 + dt.timedelta(days=12), T0 + dt.timedelta(days=7), 5, True, "SO5002",
+         "PO-1002", "AC-0002", 2, None, 2, "FREIGHT", T0),
+        (5003, 1, T0, None, None, 1, False, "SO5003", None, "AC-0003", 1, 1, 1, "OVERNIGHT", T0),
     ],
     "salesorderdetail": [
-        (71774, 110562, 1, 680, D("356.8980"), D("0.0000"), T0),
-        (71774, 110563, 2, 999, D("63.9000"), D("0.1000"), T0),
-        (71776, 110567, 1, 706, D("20.9940"), D("0.0000"), T0),
-        (71999, 110600, 1, 707, D("8.9900"), D("0.0000"), T0),
+        (5001, 9001, 1, 680, D("356.8980"), D("0.0000"), T0),
+        (5001, 9002, 2, 999, D("63.9000"), D("0.1000"), T0),
+        (5002, 9004, 1, 706, D("20.9940"), D("0.0000"), T0),
+        (5999, 9005, 1, 707, D("8.9900"), D("0.0000"), T0),
     ],
 }
 
@@ -111,12 +111,12 @@ BATCH2["address"] += [
 # changed order header and a changed line of another order (the line alone
 # does not refresh the silver order: the header stamp drives)
 BATCH2["salesorderheader"] = _replace(
-    BATCH2["salesorderheader"], 0, 71774,
-    (71774, 3, T0, T0 + dt.timedelta(days=12), T0 + dt.timedelta(days=8), 5, False, "SO71774",
-     "PO348186287", "10-4020-000609", 1, 1, 2, "CARGO TRANSPORT 5", T2),
+    BATCH2["salesorderheader"], 0, 5001,
+    (5001, 3, T0, T0 + dt.timedelta(days=12), T0 + dt.timedelta(days=8), 5, False, "SO5001",
+     "PO-1001", "AC-0001", 1, 1, 2, "FREIGHT", T2),
 )
 BATCH2["salesorderdetail"] = BATCH2["salesorderdetail"] + [
-    (71774, 110564, 4, 707, D("8.9900"), D("0.0000"), T2),
+    (5001, 9003, 4, 707, D("8.9900"), D("0.0000"), T2),
 ]
 
 
