@@ -22,6 +22,8 @@ from lakeshore.operators.upsert import (
     check_no_matched_duplicates,
     create_empty_table_like,
     create_table_from_schema,
+    duplicated_keys,
+    keep_unmatched,
     matched_duplicate_keys,
     merge_frames,
     overwrite_table,
@@ -37,6 +39,8 @@ __all__ = [
     "count_reconciliation",
     "create_empty_table_like",
     "create_table_from_schema",
+    "duplicated_keys",
+    "keep_unmatched",
     "explode_items",
     "high_water_mark",
     "inline_items",

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.context import PipelineContext
 from lakeshore.functions.attrs import attr, date_attrs, num_attrs, text_attrs
-from lakeshore.functions.keys import key_text, surrogate_key
+from lakeshore.functions.keys import surrogate_key
 from lakeshore.operators.incremental import mark_frame, newer_than_target
 from lakeshore.operators.nesting import inline_items
 from lakeshore.operators.reconcile import (
@@ -735,4 +735,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_orders_flattened(spark, sf_dir)
 
 
-__all__ = ["CTX", "ORACLE_SQL", "QUERIES", "flagship", "key_text"]
+__all__ = ["CTX", "ORACLE_SQL", "QUERIES", "flagship"]
