@@ -8,6 +8,7 @@ The pipeline code never assumes a local file system: scratch output goes under
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -23,12 +24,18 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # bounds what a Python worker holds of long texts
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # concurrent table jobs (one driver thread each) share the executors
     # instead of queueing behind the largest table
     "spark.scheduler.mode": "FAIR",
 }
 
 
+#: scratch folders of local sessions without a configured one, by application
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "lakeshore",
@@ -59,29 +66,36 @@ def build_session(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    The cluster names it in ``spark.checkpoint.dir``; that value is used as is.
-    Only when it is unset (unit tests on one machine) is a scratch folder made.
+    Only a local session without that setting (unit tests) gets a scratch folder;
+    elsewhere a missing setting is an error, because a machine-local folder would
+    lose every file that another machine writes. The path does not depend on the
+    running application, so stream checkpoints are found again after a restart.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="lakeshore-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        configured = _LOCAL_SCRATCH.setdefault(sc.applicationId, "") or tempfile.mkdtemp(prefix="lakeshore-ckpt-")
+        _LOCAL_SCRATCH[sc.applicationId] = configured
+    return configured.rstrip("/")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder, also set as the context's checkpoint folder."""
+    sc = spark.sparkContext
+    base = shared_folder(spark)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return base
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (never a machine-local temp dir)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, "lakeshore", *parts])
+    """A path under the shared folder (never a machine-local temp dir on a cluster)."""
+    return "/".join([ensure_checkpoint_dir(spark), "lakeshore", *parts])
 
 
 def local_test_session(partitions: int = 8) -> SparkSession:

@@ -19,8 +19,8 @@ def duck():
     return duck_connection(SF_SMOKE)
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+def test_every_query_of_the_library_has_an_oracle():
+    assert {k for k in QUERIES if not k.startswith(("op", "pipeline"))} <= set(SQL)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMOKE), reason="test data missing")
