@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import numpy as np
+
+from lakeshore.llm import quality as q
+from lakeshore.llm.common import table
+from tests.conftest import SF_CHECK
+
+
+def test_isotonic_equals_brute_force():
+    rng = np.random.default_rng(3)
+    x, n = np.arange(12.0), rng.integers(1, 5, 12).astype(float)
+    p = np.minimum(n, rng.integers(0, 5, 12)).astype(float)
+    xs, ys = q.isotonic(x, p, n)
+    means = p / n
+    want = [
+        max(min(np.average(means[a : b + 1], weights=n[a : b + 1]) for b in range(i, 12)) for a in range(i + 1))
+        for i in range(12)
+    ]
+    assert np.allclose(np.interp(x, xs, ys), want)
+
+
+def test_held_out_accuracy(spark):
+    got = q.op1_quality_classifier(spark, SF_CHECK).toPandas()
+    labels = table(spark, SF_CHECK, "labels").toPandas()
+    assert len(got) == table(spark, SF_CHECK, "documents").count()
+    assert got.score.between(0, 1).all()
+    m = got.merge(labels, on="doc_id")
+    m = m[m.held_out]
+    assert (m.held_out == m.doc_id.map(lambda i: q.crc_fold(i) == 0)).all()
+    assert ((m.predicted == 1) == (m.quality == 1)).mean() > 0.95
+
+
+def test_odd_rows(spark):
+    rows = [(i, f"word{i} and more, of it.", i % 2, "a") for i in range(30)] + [(None, None, 1, "b"), (31, "", 0, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int, score string")
+    stats = docs.withColumn("stats", q.statistics(docs["text"]))
+    labels = docs.select("doc_id", "quality")
+    out = q.score(stats, q.fit(stats, labels)).select("score").collect()
+    assert len(out) == 32 and all(0 <= r.score <= 1 for r in out)
+    none = q.score(stats, q.fit(stats, labels.limit(0))).select("score").distinct().collect()
+    assert [r.score for r in none] == [0.5]
+    assert q.score(stats.limit(0), q.fit(stats.limit(0), labels)).count() == 0
