@@ -6,6 +6,7 @@ from lakeshore.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from lakeshore.llm.mixing import OP4_SQL, op4_mix_sources
 from lakeshore.llm.near_dedup import op10_minhash_near_dedup
 from lakeshore.llm.quality import op1_quality_classifier
+from lakeshore.llm.substring_dedup import op9_substring_dedup
 from lakeshore.llm.token_files import op7_token_files
 
 QUERIES = {
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op7_token_files": op7_token_files,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
