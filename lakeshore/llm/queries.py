@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lakeshore.llm.decontamination import op3_decontamination
 from lakeshore.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from lakeshore.llm.mixing import OP4_SQL, op4_mix_sources
 from lakeshore.llm.near_dedup import op10_minhash_near_dedup
@@ -12,6 +13,7 @@ from lakeshore.llm.token_files import op7_token_files
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_mix_sources": op4_mix_sources,
     "op7_token_files": op7_token_files,
     "op9_substring_dedup": op9_substring_dedup,
