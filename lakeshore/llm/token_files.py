@@ -2,9 +2,10 @@
 
 Documents in ascending ``doc_id`` order are encoded, an end id follows each, and
 the ids are cut into sequences of fixed length. Each task writes one Arrow IPC
-file whose record batches hold two fixed-size-list columns, ``ids`` (uint32) and
-``mask`` (uint8: 0 padding, 1 id, 2 last id of a document), and one small Arrow
-file with the document ids in order. A file ends with padding, so files stand on
+file whose record batches hold three fixed-size-list columns, ``ids`` (uint16 if the
+vocabulary fits, else uint32), ``mask`` (bits: an id, not padding) and ``last``
+(bits: last id of a document), and one small Arrow file with the document ids in
+order. A file ends with padding, so files stand on
 their own; the table of files (first token, counts) gives every file its place in
 the whole stream. Batches are uncompressed and of equal size, so sequence ``i`` of
 a mapped file is a view at a computed place: no copy, no scan.
@@ -43,12 +44,31 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one
 SEQUENCE = 2048  # ids in a sequence
 BATCH = 256  # sequences in a record batch
 END_ID = 0
-_MEMO = 300_000  # chunks whose ids a worker remembers
+_MEMO = 1_000_000  # chunks whose ids a worker remembers, some 200 MB
+_MARKS = frozenset(".,!?;:")
 _ODD_SPACE = re.compile(r"\s\s|\s\Z")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
+class _Memo(dict):
+    """Ids of chunks as bytes; the first ``_MEMO`` are remembered."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, chunk: str) -> bytes:
+        # a letter and a mark after it never share a pre-token
+        if chunk[-1:] in _MARKS and chunk[-2:-1].isalpha():
+            found = self[chunk[:-1]] + self[chunk[-1]]
+        else:
+            found = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) < _MEMO:
+            self[chunk] = found
+        return found
+
+
 class ChunkEncoder:
     """A byte-level BPE tokenizer that remembers the ids of chunks.
 
@@ -59,35 +79,14 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
-
-    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        fresh = [c for c in chunks if c not in self.memo]
-        found = {}
-        for a in range(0, len(fresh), 10_000):
-            part = fresh[a : a + 10_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                found[c] = np.array(e.ids, "<u4").tobytes()
-        if len(self.memo) + len(found) <= _MEMO:
-            self.memo.update(found)
-            return {}
-        room = _MEMO - len(self.memo)
-        self.memo.update((c, found[c]) for c in fresh[:room])
-        return found
+        self.memo = _Memo(self.tokenizer)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = []
-        for text in texts:
-            if "\x00" in text or _ODD_SPACE.search(text):
-                pieces.append(_CUT.split(text))
-            else:
-                pieces.append(text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00"))
-        rest = self._learn(set().union(*pieces)) if pieces else {}
-        out = []
-        for p in pieces:
-            memo = self.memo
-            out.append(np.frombuffer(b"".join([memo[c] if c in memo else rest[c] for c in p]), "<u4"))
-        return out
+    def encode(self, text: str) -> np.ndarray:
+        if "\x00" in text or _ODD_SPACE.search(text):
+            chunks = _CUT.split(text)
+        else:
+            chunks = text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, chunks)), "<u4")
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -96,58 +95,54 @@ def encoder(path: str) -> ChunkEncoder:
     return _ENCODERS[path]
 
 
-def _schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def id_type(tokenizer: Tokenizer) -> pa.DataType:
+    """The smallest type that holds every id."""
+    return pa.uint16() if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else pa.uint32()
+
+
+def _schema(length: int, ids: pa.DataType) -> pa.Schema:
+    bits = pa.list_(pa.bool_(), length)
+    return pa.schema([("ids", pa.list_(ids, length)), ("mask", bits), ("last", bits)])
 
 
 class SequenceWriter:
     """Collects ids and writes a record batch whenever one is full."""
 
-    def __init__(self, fs: pafs.FileSystem, path: str, length: int):
+    def __init__(self, fs: pafs.FileSystem, path: str, length: int, ids: pa.DataType):
         self.length, self.tokens, self.sequences = length, 0, 0
+        self.schema, self.dtype = _schema(length, ids), ids.to_pandas_dtype()
         self.out = fs.open_output_stream(path)
-        self.file = ipc.new_file(self.out, _schema(length))
+        self.file = ipc.new_file(self.out, self.schema)
         self.ids: list[np.ndarray] = []
-        self.marks: list[np.ndarray] = []
+        self.lasts: list[np.ndarray] = []
         self.held = 0
 
     def add(self, ids: np.ndarray) -> None:
         """The ids of one document, end id included."""
-        marks = np.ones(len(ids), np.uint8)
-        marks[-1] = 2
-        self.ids.append(ids)
-        self.marks.append(marks)
+        last = np.zeros(len(ids), bool)
+        last[-1] = True
+        self.ids.append(ids.astype(self.dtype))
+        self.lasts.append(last)
         self.held += len(ids)
         self.tokens += len(ids)
-        if self.held >= BATCH * self.length:
-            self._flush(BATCH * self.length)
-
-    def _flush(self, step: int) -> None:
-        ids, marks = np.concatenate(self.ids), np.concatenate(self.marks)
-        a = 0
-        while len(ids) - a >= step and step:
-            self._batch(ids[a : a + step], marks[a : a + step])
-            a += step
-        self.ids, self.marks, self.held = [ids[a:]], [marks[a:]], len(ids) - a
-
-    def _batch(self, ids: np.ndarray, marks: np.ndarray) -> None:
-        n = len(ids) // self.length
-        self.file.write_batch(
-            pa.record_batch(
-                [
-                    pa.FixedSizeListArray.from_arrays(pa.array(ids, pa.uint32()), self.length),
-                    pa.FixedSizeListArray.from_arrays(pa.array(marks, pa.uint8()), self.length),
-                ],
-                schema=_schema(self.length),
-            )
-        )
-        self.sequences += n
+        step = BATCH * self.length
+        if self.held >= step:
+            flat, lasts = np.concatenate(self.ids), np.concatenate(self.lasts)
+            full = len(flat) - len(flat) % step
+            for a in range(0, full, step):
+                self._batch(flat[a : a + step], lasts[a : a + step], step)
+            self.ids, self.lasts, self.held = [flat[full:]], [lasts[full:]], len(flat) - full
+
+    def _batch(self, ids: np.ndarray, lasts: np.ndarray, real: int) -> None:
+        gap = -len(ids) % self.length
+        columns = (np.pad(ids, (0, gap)), np.arange(len(ids) + gap) < real, np.pad(lasts, (0, gap)))
+        arrays = [pa.FixedSizeListArray.from_arrays(pa.array(c), self.length) for c in columns]
+        self.file.write_batch(pa.record_batch(arrays, schema=self.schema))
+        self.sequences += (len(ids) + gap) // self.length
 
     def close(self) -> None:
         if self.held:
-            ids, marks = np.concatenate(self.ids), np.concatenate(self.marks)
-            gap = -len(ids) % self.length
-            self._batch(np.pad(ids, (0, gap)), np.pad(marks, (0, gap)))
+            self._batch(np.concatenate(self.ids), np.concatenate(self.lasts), self.held)
         self.file.close()
         self.out.close()
 
@@ -157,12 +152,12 @@ def open_sequences(path: str) -> ipc.RecordBatchFileReader:
     return ipc.open_file(pa.memory_map(path))
 
 
-def sequence(reader: ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
+def sequence(reader: ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, pa.Array]:
     """Ids and mask of sequence ``i``, as views of the file."""
     batch = reader.get_batch(i // BATCH)
     length = batch.schema.field(0).type.list_size
     a = (i % BATCH) * length
-    return tuple(np.asarray(batch.column(k).values)[a : a + length] for k in (0, 1))
+    return np.asarray(batch.column(0).values)[a : a + length], batch.column(1).values.slice(a, length)
 
 
 _FILES = "part int, path string, docs_path string, n_docs bigint, n_tokens bigint, n_sequences bigint"
@@ -188,12 +183,13 @@ def write_token_files(
                 fs, base = pafs.FileSystem.from_uri(folder)
                 fs.create_dir(base, recursive=True)
                 stem = f"part-{part:06d}-{uuid.uuid4().hex}"
-                writer = SequenceWriter(fs, f"{base}/{stem}.arrow", length)
+                writer = SequenceWriter(fs, f"{base}/{stem}.arrow", length, id_type(encoder(tokenizer).tokenizer))
                 doc_schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
                 doc_out = fs.open_output_stream(f"{base}/{stem}.docs.arrow")
                 doc_file = ipc.new_file(doc_out, doc_schema)
             counts = []
-            for ids in encoder(tokenizer).encode(batch.column("text").to_pylist()):
+            for text in batch.column("text").to_pylist():
+                ids = encoder(tokenizer).encode(text)
                 writer.add(np.append(ids, np.uint32(end_id)))
                 counts.append(len(ids) + 1)
             n_docs += len(counts)
@@ -239,13 +235,14 @@ def _documents(path: str, docs_path: str, start: int) -> Iterator[pa.RecordBatch
     reader, done, crc, count = ipc.open_file(fs.open_input_file(place)), 0, 0, 0
     for k in range(reader.num_record_batches):
         batch = reader.get_batch(k)
-        ids, mask = (np.asarray(batch.column(c).values) for c in (0, 1))
+        ids = np.asarray(batch.column("ids").values)
+        mask, last = (batch.column(c).values.to_numpy(zero_copy_only=False) for c in ("mask", "last"))
         rows, a = [], 0
-        for e in np.flatnonzero(mask == 2) + 1:
+        for e in np.flatnonzero(last) + 1:
             crc, count = zlib.crc32(ids[a:e].astype("<u4").tobytes(), crc), count + int(e - a)
             rows.append((start, count, crc))
             start, count, crc, a = start + count, 0, 0, int(e)
-        tail = ids[a:][mask[a:] == 1]
+        tail = ids[a:][mask[a:]]
         crc, count = zlib.crc32(tail.astype("<u4").tobytes(), crc), count + len(tail)
         if rows:
             cols = list(zip(*rows, strict=True))

@@ -16,10 +16,10 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet=" \n\t\r\x00\x1c\x85\xa0a.!'sé<|>1", max_size=25), max_size=4))
+@given(st.lists(st.text(alphabet=" \n\t\r\x00\x1c\x85\xa0a.,!?'sé<|>1", max_size=25), max_size=4))
 def test_chunks_give_the_ids_of_the_whole(texts):
     want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
-    assert [x.tolist() for x in tf.encoder(PATH).encode(texts)] == want
+    assert [tf.encoder(PATH).encode(t).tolist() for t in texts] == want
 
 
 def _expected(rows):
@@ -51,7 +51,7 @@ def test_odd_rows_and_random_access(spark):
         for i in range(f.n_sequences):
             ids, mask = tf.sequence(reader, i)
             assert len(ids) == 64 and not ids.flags.owndata and not ids.flags.writeable
-            stream.extend(ids[mask > 0].tolist())
+            stream.extend(ids[mask.to_numpy(zero_copy_only=False)].tolist())
     assert len(stream) == sum(g[2] for g in got)
 
 
