@@ -69,66 +69,78 @@ def source_targets(sized: DataFrame, weights: Sequence[float], max_epochs: int)
     )
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: Sequence[float] = WEIGHTS,
-    max_epochs: int = MAX_EPOCHS,
-    seed: int = 17,
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, epochs (repetitions taken) for each row of ``docs``."""
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("bigint")
-    sized = written(
-        docs.select("doc_id", "source", size.alias("size"), _hash52(seed).alias("u")), "mix-sizes"
-    )
+    return docs.select("doc_id", "source", size.alias("size"), _hash52(seed).alias("u"))
+
+
+def _with_plan(rows: DataFrame, side: DataFrame) -> DataFrame:
+    side = side.withColumnRenamed("source", "_source")
+    return rows.join(side, rows["source"].eqNullSafe(side["_source"])).drop("_source")
+
+
+def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: int) -> DataFrame:
+    """source, source_size, target, whole, cut of each source of ``sized`` (source, size, u):
+    documents are taken ``whole`` times, and once more where ``u`` is not above ``cut``."""
     plan = source_targets(sized, weights, max_epochs).withColumn(
         "whole", F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0))
     )
     plan = written(
-        plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-plan"
+        plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets"
     )
-
-    def with_plan(rows: DataFrame, side: DataFrame) -> DataFrame:
-        side = side.withColumnRenamed("source", "_source")
-        return rows.join(side, rows["source"].eqNullSafe(side["_source"])).drop("_source")
-
-    bins = sized.groupBy("source", F.floor(F.col("u") / _BIN).alias("bin")).agg(F.sum("size").alias("words"))
+    bin_of = F.floor(F.col("u") / _BIN)
+    bins = sized.groupBy("source", bin_of.alias("bin")).agg(F.sum("size").alias("words"))
     by_bin = Window.partitionBy("source").orderBy("bin")
     bins = bins.withColumn("through", F.sum("words").over(by_bin)).withColumn(
         "before", F.col("through") - F.col("words")
     )
     # the one bin of each source where the running sum passes the rest of the target
-    edge = (
-        with_plan(bins, plan.select("source", "rest"))
+    edge = written(
+        _with_plan(bins, plan.select("source", "rest"))
         .where((F.col("before") < F.col("rest")) & (F.col("through") >= F.col("rest")) & (F.col("words") > 0))
-        .select(F.col("source").alias("edge_source"), "bin", "before", "rest")
-    )
-    inside = sized.join(
-        edge,
-        sized["source"].eqNullSafe(edge["edge_source"]) & (F.floor(F.col("u") / _BIN) == F.col("bin")),
-    )
-    inside = inside.groupBy("source", "u").agg(
-        F.sum("size").alias("words"), F.first("before").alias("before"), F.first("rest").alias("rest"),
-        F.first("bin").alias("bin"),
+        .select(F.col("source").alias("edge_source"), "bin", "before", "rest"),
+        "mix-edges",
     )
+    inside = sized.join(edge, sized["source"].eqNullSafe(edge["edge_source"]) & (bin_of == F.col("bin")))
+    inside = inside.groupBy("source", "u", "bin", "before", "rest").agg(F.sum("size").alias("words"))
     through = F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("u"))
     cuts = (
         inside.withColumn("through", through)
         .withColumn("taken", 2 * F.col("through") - F.col("words") < 2 * F.col("rest"))
         .groupBy("source")
         .agg(F.max(F.when(F.col("taken"), F.col("u"))).alias("last"), F.first("bin").alias("bin"))
-        .select("source", F.coalesce(F.col("last"), F.col("bin") * _BIN - 1).alias("cut"))
-    )
-    cut_side = cuts.withColumnRenamed("source", "_cut_source")
-    plan = plan.join(cut_side, plan["source"].eqNullSafe(cut_side["_cut_source"]), "left").drop("_cut_source")
-    mixed = with_plan(sized, plan)
-    return mixed.select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("whole") + F.coalesce((F.col("u") <= F.col("cut")).cast("bigint"), F.lit(0))).alias("epochs"),
+        .select(F.col("source").alias("_cut_source"), F.coalesce(F.col("last"), F.col("bin") * _BIN - 1).alias("cut"))
     )
+    plan = plan.join(cuts, plan["source"].eqNullSafe(cuts["_cut_source"]), "left").drop("_cut_source", "rest")
+    return written(plan, "mix-plan")  # one row for each source: its size lets the engine choose the join
+
+
+def mix_sources(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    max_epochs: int = MAX_EPOCHS,
+    seed: int = 17,
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, epochs (repetitions taken) for each row of ``docs``."""
+    sized = written(_sized(docs, seed), "mix-sizes")
+    mixed = _with_plan(sized, mix_plan(sized, weights, max_epochs))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", _epochs(F.col("u")).alias("epochs"))
+
+
+def _epochs(u: Column) -> Column:
+    return F.col("whole") + F.coalesce((u <= F.col("cut")).cast("bigint"), F.lit(0))
+
+
+def repeat_documents(
+    docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 17
+) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``."""
+    sized = written(_sized(docs, seed), "mix-sizes")
+    plan = mix_plan(sized, weights, max_epochs).select(F.struct("whole", "cut").alias("_plan"), "source")
+    taken = _with_plan(docs.withColumn("_u", _hash52(seed)), plan)
+    epochs = F.col("_plan.whole") + F.coalesce((F.col("_u") <= F.col("_plan.cut")).cast("bigint"), F.lit(0))
+    copies = taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), epochs.cast("int"))))
+    return copies.select(*docs.columns)
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,8 @@ are candidates. Groups can be large, so pairs are not listed group by group:
 
 Together that decides every candidate pair that can matter; every link is
 confirmed on full sets. With ``BANDS`` bands of ``ROWS`` coordinates two documents
-of similarity 0.85 share a band with probability 0.999997.
+of similarity 0.85 share a band with probability 0.999997 (with four coordinates a
+band, two of similarity 0.8 with 0.99999).
 
 Defined cases: a null, empty or blank text has the empty set, links with nothing
 and is its own component; a row with a null ``doc_id`` can not be the smallest
@@ -83,7 +84,7 @@ def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
             yield words[:0]
 
 
-def _features(shingle: int):
+def _features(shingle: int, per_band: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, nodes, bands = [], [], []
@@ -94,7 +95,7 @@ def _features(shingle: int):
                     bands.append(None)
                     continue
                 nodes.append(xxhash.xxh3_128_digest(s.tobytes()))
-                rows = signature(s, BANDS * ROWS).reshape(BANDS, ROWS)
+                rows = signature(s, BANDS * per_band).reshape(BANDS, per_band)
                 bands.append([xxhash.xxh3_64_intdigest(r.tobytes(), seed=k) - (1 << 63) for k, r in enumerate(rows)])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -166,7 +167,7 @@ def _block(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, per_band: int = ROWS) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     feats = written(
         docs.select(
@@ -175,7 +176,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
         )
         .withColumn("text_key", F.xxhash64("text"))
         .mapInArrow(
-            _features(shingle),
+            _features(shingle, per_band),
             "doc_id bigint, text_key bigint, n_shingles bigint, node binary, bands array<bigint>",
         ),
         "near-features",
@@ -243,6 +244,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85) -> Dat
     )
 
 
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, per_band: int = 4) -> DataFrame:
+    """One document of each group of near-duplicates, with the columns of ``docs``; of rows that
+    repeat ``doc_id`` and text one stays."""
+    kept = near_duplicates(docs, shingle, percent, per_band).where("kept")
+    kept = kept.select(F.col("doc_id").alias("__near_id"), F.col("text_key").alias("__near_key")).distinct()
+    keyed = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    staying = keyed.join(
+        kept, (keyed["__text_key"] == kept["__near_key"]) & keyed["doc_id"].eqNullSafe(kept["__near_id"])
+    )
+    return staying.dropDuplicates(["__near_id", "__near_key"]).select(*docs.columns)
+
+
 def _placed(member: DataFrame, component: DataFrame | None) -> DataFrame:
     """The members of bands with the component of each, a node of its own where it has no link."""
     if component is None:
