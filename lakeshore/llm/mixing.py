@@ -55,11 +55,12 @@ def source_targets(sized: DataFrame, weights: Sequence[float], max_epochs: int)
             "left_weight": F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)),
         }
     )
-    # the level were all sources before this one clamped; the first that this does not clamp sets it
+    # the level if all sources before this one are clamped: it rises until the first source that stays
+    # below its cap, and falls from there on, so the highest level of an unclamped source is the water
     levels = levels.withColumn("level", F.col("left_words") / F.col("left_weight")).withColumn(
         "clamped", F.col("cap") <= F.col("weight") * F.col("level")
     )
-    level = F.min(F.when(~F.col("clamped"), F.col("level"))).over(everything)
+    level = F.max(F.when(~F.col("clamped"), F.col("level"))).over(everything)
     return levels.withColumn("water", level).select(
         "source",
         "source_size",
@@ -83,7 +84,7 @@ def mix_plan(sized: DataFrame, weights: Sequence[float], max_epochs: int) -> Dat
     """source, source_size, target, whole, cut of each source of ``sized`` (source, size, u):
     documents are taken ``whole`` times, and once more where ``u`` is not above ``cut``."""
     plan = source_targets(sized, weights, max_epochs).withColumn(
-        "whole", F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0))
+        "whole", F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
     )
     plan = written(
         plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets"
@@ -169,7 +170,7 @@ tried AS (
          - coalesce(sum(b.cap) FILTER (WHERE b.cap / b.weight < a.cap / a.weight), 0)::DOUBLE AS words,
          sum(b.weight) FILTER (WHERE b.cap / b.weight >= a.cap / a.weight) AS weights, a.cap, a.weight
   FROM totals a CROSS JOIN totals b GROUP BY a.source, a.cap, a.weight),
-water AS (SELECT min(words / weights) AS level FROM tried WHERE cap > weight * (words / weights)),
+water AS (SELECT max(words / weights) AS level FROM tried WHERE cap > weight * (words / weights)),
 plan AS (
   SELECT source, source_size, CASE WHEN level IS NULL OR cap <= weight * level THEN cap::DOUBLE ELSE weight * level END AS target
   FROM totals, water),

@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from lakeshore.llm.common import table, written
+from tests.conftest import SF_SMOKE
+
+
+def test_stages_by_their_own_input(spark):
+    """Each stage against a plain account of what it must keep of its own input."""
+    docs = table(spark, SF_SMOKE, "documents")
+    columns, before = docs.columns, docs.toPandas()
+    quality = {r.doc_id: r.quality for r in table(spark, SF_SMOKE, "labels").collect()}
+    items = [r.text for r in table(spark, SF_SMOKE, "benchmark").collect()]
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = written(stage(spark, docs, SF_SMOKE), "t")
+        assert docs.columns == columns
+        after = docs.toPandas()
+        if name == "quality classifier":
+            kept = before.doc_id.isin(after.doc_id)
+            known = before.doc_id.isin(quality)
+            right = kept[known] == before.doc_id[known].map(quality).astype(bool)
+            assert right.mean() > 0.9 and not after.doc_id.duplicated().any()
+        if name == "minhash near-dedup":
+            sets = [set(zip(*[t.lower().split()[k:] for k in range(5)], strict=False)) for t in after.text]
+            for i, a in enumerate(sets):
+                assert all(not a or len(a & b) < 0.8 * len(a | b) for b in sets[:i])
+            dropped = before[~before.doc_id.isin(after.doc_id)]
+            assert len(dropped) and len(dropped) + len(after) == len(before)
+        if name == "benchmark decontamination":
+            leaky = before.text.map(lambda t: any(i in t for i in items))
+            assert leaky.any() and set(after.doc_id) <= set(before.doc_id[~leaky])
+            assert (~leaky).sum() - len(after) <= 0.02 * len(before)
+        if name == "mixing to target weights":
+            counts = after.groupby("doc_id").size()
+            assert counts.max() <= 3 and set(after.doc_id) <= set(before.doc_id)
+        before = after
+    out = corpus_pipeline.tokens(spark, docs, SF_SMOKE).collect()
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = []
+    for r in before.itertuples():
+        ids = np.array([*tok.encode(r.text, add_special_tokens=False).ids, 0], "<u4")
+        want.append((r.doc_id, len(ids), zlib.crc32(ids.tobytes())))
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == sorted(want)
+
+
+def test_registered():
+    names = entry.queries()
+    assert "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_odd_documents(spark):
+    docs = spark.createDataFrame(
+        [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, "a b", "en", None, 3)],
+        table(spark, SF_SMOKE, "documents").schema,
+    )
+    for rows in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            rows = written(stage(spark, rows, SF_SMOKE), "t")
+        assert rows.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
