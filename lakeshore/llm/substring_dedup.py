@@ -12,13 +12,13 @@ shift. Then:
 
 1. anchors that occur once are dropped; the others mark their places;
 2. every window that holds a marked anchor is extended to its full length and
-   hashed with 128 bits; of equal windows the first is found by an aggregate and
-   joined back, so no group of equal windows is gathered;
-3. texts with repeats are cut; all others pass untouched.
+   hashed with 128 bits; of equal windows all but the first are repeats. A later
+   copy of a whole text needs no windows: the first copy has them all;
+3. texts with repeats are cut; all others pass untouched and are never shuffled.
 
-A task sends one row for each anchor hash, and marks what repeats within it by
-itself, so a line that half of all documents share reaches a task at most once
-from each other task.
+A task sends one row for each anchor hash and for each window, the first it has,
+and settles by itself what repeats within it, so a line that half of all documents
+share reaches a task at most once from each other task.
 
 Defined cases: a null, empty or short text loses nothing; a null ``doc_id`` counts
 as larger than any other; rows that share a ``doc_id`` are ordered by a hash of
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ from lakeshore.llm.words import hash_words, text_buffer, window_hashes, word_spa
 WINDOW = 20
 ANCHOR = 8
 PERIOD, COVER = 13, (0, 1, 3, 9)
+BITS = 1 << 23  # of the map of rows that may change
 _LAST = (1 << 63) - 1  # order of a null doc_id
 
 
@@ -124,81 +126,115 @@ def _repeated(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column("row_key"), pa.array((info >> 2).astype(np.int32))], ["row_key", "place"]).filter(pa.array(keep))
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text with the hashes of its windows that hold a marked anchor."""
+def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
+    raw = data[starts[0] : ends[-1]].tobytes() if len(starts) else b""
+    return hashlib.sha256(b" ".join(raw.split())).hexdigest()
+
+
+def _sorted_out(bits: np.ndarray):
+    """Rows that surely have no mark, done; the texts of the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.asarray(batch.column("row_key"))
+            slot = (keys & (BITS - 1)).astype(np.int64)
+            suspect = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+            data, offsets = text_buffer(batch.column("text"))
+            starts, ends, first = word_spans(data, offsets)
+            digests = [
+                None if odd else _joined(data, starts[x:y], ends[x:y])
+                for odd, x, y in zip(suspect.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True)
+            ]
+            texts = pc.if_else(pa.array(suspect), batch.column("text"), pa.scalar(None, pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row_key"), texts, pa.array(np.diff(first)), pa.array(digests, pa.string())],
+                ["doc_id", "row_key", "text", "n_words", "whole_sha256"],
+            )
+
+    return run
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows that hold a marked anchor: the first of equal ones in the task, and the
+    places of the later ones, which are repeats whatever other tasks hold."""
+    columns: list[list[np.ndarray]] = [[], [], [], [], []]
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"))
         starts, ends, first = word_spans(data, offsets)
-        marks = batch.column("places").to_pylist()
-        out_at, out_a, out_b, words, digests = [], [], [], [], []
-        texts = batch.column("text").to_pylist()
-        for i, (x, y) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
-            words.append(y - x)
-            at = np.zeros(0, np.int64)
-            if marks[i] and y - x >= WINDOW:
-                p = np.unique(np.array(marks[i], np.int64))
-                edge = np.zeros(y - x + 2, np.int64)
-                np.add.at(edge, np.maximum(p - PERIOD + 1, 0), 1)
-                np.add.at(edge, p + 1, -1)
-                at = np.flatnonzero(np.cumsum(edge)[: y - x - WINDOW + 1] > 0)
-            if len(at):
-                s, e = starts[x:y], ends[x:y]
-                out_a.append(window_hashes(hash_words(data, s, e), WINDOW)[at].view(np.int64))
-                out_b.append(window_hashes(hash_words(data, s, e, base=1), WINDOW)[at].view(np.int64))
-                digests.append(None)
-            else:
-                out_a.append(None)
-                out_b.append(None)
-                digests.append(_joined(data, starts[x:y], ends[x:y]))
-                texts[i] = None
-            out_at.append(at if len(at) else None)
-        kind = pa.list_(pa.int64())
+        words = [hash_words(data, starts, ends, base=k) for k in (0, 1)]
+        docs, keys = np.asarray(batch.column("doc")), np.asarray(batch.column("row_key"))
+        for i, marks in enumerate(batch.column("places").to_pylist()):
+            x, y = int(first[i]), int(first[i + 1])
+            if y - x < WINDOW:
+                continue
+            p = np.array(marks, np.int64)
+            edge = np.zeros(y - x + 2, np.int64)
+            np.add.at(edge, np.maximum(p - PERIOD + 1, 0), 1)
+            np.add.at(edge, p + 1, -1)
+            at = np.flatnonzero(np.cumsum(edge)[: y - x - WINDOW + 1] > 0)
+            for k in (0, 1):
+                columns[k].append(window_hashes(words[k][x:y], WINDOW)[at].view(np.int64))
+            columns[2].append(np.full(len(at), docs[i]))
+            columns[3].append(np.full(len(at), keys[i]))
+            columns[4].append(at)
+    if not columns[0]:
+        return
+    h1, h2, doc, key, at = (np.concatenate(c) for c in columns)
+    order = np.lexsort((at, key, doc, h2, h1))
+    h1, h2, doc, key, at = (c[order] for c in (h1, h2, doc, key, at))
+    new = np.ones(len(h1), bool)  # a repeated row has the same places as the row itself
+    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (key[1:] != key[:-1]) | (at[1:] != at[:-1])
+    h1, h2, doc, key, at = (c[new] for c in (h1, h2, doc, key, at))
+    later = np.zeros(len(h1), bool)
+    later[1:] = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
+    h1, h2 = np.where(later, key * 31 + at, h1), np.where(later, 0, h2)
+    for a in range(0, len(h1), 100_000):
+        cut = slice(a, a + 100_000)
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("row_key"),
-                pa.array(texts, pa.string()),
-                pa.array(words, pa.int64()),
-                pa.array(digests, pa.string()),
-                pa.array(out_at, kind),
-                pa.array(out_a, kind),
-                pa.array(out_b, kind),
-            ],
-            ["doc_id", "row_key", "text", "n_words", "whole_sha256", "starts", "h1", "h2"],
+            [pa.array(c[cut]) for c in (h1, h2, doc, key, at * 2 + later)], ["h1", "h2", "doc", "row_key", "info"]
         )
 
 
-_WINDOW_SCHEMA = (
-    "doc_id bigint, row_key bigint, text string, n_words bigint, whole_sha256 string, "
-    "starts array<bigint>, h1 array<bigint>, h2 array<bigint>"
-)
-
-
-def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
-    raw = data.tobytes() if len(starts) == 0 else data[starts[0] : ends[-1]].tobytes()
-    return hashlib.sha256(b" ".join(raw.split()) if len(starts) else b"").hexdigest()
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All but the first of equal windows, of rows in the order of hashes and places."""
+    last = None
+    for batch in batches:
+        info = np.asarray(batch.column("info"))
+        repeat = info & 1 == 1  # known to its task
+        sent = np.flatnonzero(~repeat)
+        if len(sent):
+            rows = np.stack([np.asarray(batch.column(c)) for c in ("h1", "h2", "row_key", "info")], axis=1)[sent]
+            before = np.concatenate([rows[:1] if last is None else last, rows[:-1]])
+            same = (rows == before).all(axis=1)  # of a repeated row, or the very first
+            repeat[sent] = (rows[:, :2] == before[:, :2]).all(axis=1) & ~same
+            last = rows[-1:].copy()
+        columns = [batch.column("row_key"), batch.column("doc"), pa.array(info >> 1)]
+        yield pa.RecordBatch.from_arrays(columns, ["row_key", "doc", "start"]).filter(pa.array(repeat))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words of their repeats."""
     for batch in batches:
-        removed, kept_texts = [], []
-        for text, n, at in zip(
-            batch.column("text").to_pylist(), batch.column("n_words").to_pylist(), batch.column("repeats").to_pylist(), strict=True
-        ):
-            words = (text or "").encode().split()
-            edge = np.zeros(n + WINDOW + 1, np.int64)
-            if at:
-                p = np.unique(np.array(at, np.int64))
-                edge[p] += 1
-                edge[p + WINDOW] -= 1
+        rows = zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "is_copy", "repeats")), strict=True)
+        counts, removed, kept_texts = [], [], []
+        for doc, text, is_copy, repeats in rows:
+            words = text.encode().split()
+            n = len(words)
+            edge = np.zeros(n + 1, np.int64)
+            if is_copy and n >= WINDOW:
+                edge[0] = 1
+            for r in repeats or ():
+                if r["doc"] == doc:
+                    edge[r["start"]] += 1
+                    edge[r["start"] + WINDOW] -= 1
             gone = np.cumsum(edge)[:n] > 0
+            counts.append(n)
             removed.append(int(gone.sum()))
             kept_texts.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
-                batch.column("n_words"),
+                pa.array(counts, pa.int64()),
                 pa.array(removed, pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in kept_texts], pa.string()),
                 pa.array(kept_texts, pa.string()),
@@ -207,52 +243,81 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _marked_rows(keyed: DataFrame) -> DataFrame:
+    """row_key, places, is_copy of the rows that may lose words."""
+    n = shuffle_partitions(keyed.sparkSession)
+    anchors = keyed.select("text", "row_key").mapInArrow(_anchors, "anchor bigint, row_key bigint, info bigint")
+    places = (
+        anchors.repartition(n, "anchor")
+        .sortWithinPartitions("anchor")
+        .mapInArrow(_marked, "row_key bigint, place int")
+        .groupBy("row_key")
+        .agg(F.collect_list("place").alias("places"))
+    )
+    # a later copy of a whole text: every window of it starts earlier, in the first copy
+    rows = written(keyed.select("doc", "row_key", F.unhex(F.md5("text")).alias("digest")), "substring-digests")
+    place = F.struct("doc", "row_key")
+    groups = rows.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = rows.join(groups, "digest").where(place != F.col("first")).select("row_key").distinct()
+    both = places.withColumn("is_copy", F.lit(False)).unionByName(
+        copies.withColumn("is_copy", F.lit(True)), allowMissingColumns=True
+    )
+    return both.groupBy("row_key").agg(
+        F.first("places", ignorenulls=True).alias("places"), F.max("is_copy").alias("is_copy")
+    )
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text for each row of ``docs`` (doc_id, text).
 
-    ``kept_text`` is null where nothing was removed: the words of the text itself stay.
+    ``kept_text`` is null where nothing can be removed: the words of the text itself stay.
     """
     spark = docs.sparkSession
     keyed = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).withColumn("row_key", F.xxhash64("doc_id", "text"))
-    anchors = keyed.select("text", "row_key").mapInArrow(
-        _anchors, "anchor bigint, row_key bigint, info bigint"
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        F.xxhash64("doc_id", "text").alias("row_key"),
     )
-    places = (
-        anchors.repartition(shuffle_partitions(spark), "anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(_marked, "row_key bigint, place int")
-        .groupBy("row_key")
-        .agg(F.collect_list("place").alias("places"))
-        .withColumnRenamed("row_key", "_row")
+    marks = written(_marked_rows(keyed), "substring-marks")
+    # a bit for each marked row, in a map of fixed size: texts of rows without it are not shuffled
+    slot = F.col("row_key").bitwiseAND(F.lit(BITS - 1))
+    words = marks.groupBy(F.shiftright(slot, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast((row_key & {BITS - 1}) & 63 as int))")).alias("bits")
     )
-    texts = keyed.join(places, keyed["row_key"] == places["_row"], "left").drop("_row")
-    rows = written(texts.mapInArrow(_window_rows, _WINDOW_SCHEMA), "substring-rows")
-    windows = rows.where(F.col("starts").isNotNull()).select(
-        F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "row_key", F.inline(F.arrays_zip("h1", "h2", "starts"))
+    bits = np.zeros(BITS // 64, np.uint64)
+    for r in words.toLocalIterator():  # at most BITS / 64 rows
+        bits[r["word"]] = np.uint64(r["bits"] & (1 << 64) - 1)
+    shared = spark.sparkContext.broadcast(bits)
+
+    def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sorted_out(shared.value)(batches)
+
+    rows = written(
+        keyed.select("doc_id", "row_key", "text").mapInArrow(
+            sort_out, "doc_id bigint, row_key bigint, text string, n_words bigint, whole_sha256 string"
+        ),
+        "substring-rows",
     )
-    place = F.struct("doc", "row_key", "starts")
-    first = (
-        windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    suspects = rows.where(F.col("text").isNotNull()).select(
+        "doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "row_key", "text"
     )
+    joined = suspects.join(marks, "row_key", "left")
     repeats = (
-        windows.join(first.select("h1", "h2", "first"), ["h1", "h2"])
-        .where(place != F.col("first"))
-        .groupBy("doc", "row_key")
-        .agg(F.collect_list("starts").alias("repeats"))
-        .select(F.col("row_key").alias("_row"), F.col("doc").alias("_doc"), "repeats")
+        joined.where(F.col("places").isNotNull() & ~F.col("is_copy"))
+        .select("doc", "row_key", "text", "places")
+        .mapInArrow(_windows, "h1 bigint, h2 bigint, doc bigint, row_key bigint, info bigint")
+        .repartition(shuffle_partitions(spark), "h1")
+        .sortWithinPartitions("h1", "h2", "doc", "row_key", "info")
+        .mapInArrow(_later, "row_key bigint, doc bigint, start bigint")
+        .groupBy("row_key")
+        .agg(F.collect_list(F.struct("doc", "start")).alias("repeats"))
     )
-    touched = rows.where(F.col("starts").isNotNull())
-    cut = touched.join(
-        repeats,
-        (touched["row_key"] == repeats["_row"]) & (F.coalesce(touched["doc_id"], F.lit(_LAST)) == repeats["_doc"]),
-        "left",
-    ).select("doc_id", "text", "n_words", "repeats")
+    cut = joined.join(repeats, "row_key", "left").select("doc_id", "doc", "text", "is_copy", "repeats")
     cut = cut.mapInArrow(
         _cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
     )
-    whole = rows.where(F.col("starts").isNull()).select(
+    whole = rows.where(F.col("text").isNull()).select(
         "doc_id",
         "n_words",
         F.lit(0).cast("bigint").alias("n_removed"),

@@ -26,6 +26,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,49 +45,76 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one
 SEQUENCE = 2048  # ids in a sequence
 BATCH = 256  # sequences in a record batch
 END_ID = 0
-_MEMO = 1_000_000  # chunks whose ids a worker remembers, some 200 MB
+_MEMO = 600_000  # chunks whose ids a worker remembers
+_TOGETHER = 250  # texts encoded at a time
 _MARKS = frozenset(".,!?;:")
 _ODD_SPACE = re.compile(r"\s\s|\s\Z")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
-class _Memo(dict):
-    """Ids of chunks as bytes; the first ``_MEMO`` are remembered."""
-
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, chunk: str) -> bytes:
-        # a letter and a mark after it never share a pre-token
-        if chunk[-1:] in _MARKS and chunk[-2:-1].isalpha():
-            found = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            found = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) < _MEMO:
-            self[chunk] = found
-        return found
-
-
 class ChunkEncoder:
     """A byte-level BPE tokenizer that remembers the ids of chunks.
 
     The tokenizer's pattern never joins a visible character with white space after
     it, so a text can be cut before each blank or line end that follows a visible
-    character, and the ids of the pieces joined are those of the whole.
+    character, and the ids of the pieces joined are those of the whole. For the same
+    reason new chunks are encoded many at a time, put together to one text; the
+    bytes of each token tell where a chunk's ids end.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo = _Memo(self.tokenizer)
+        self.memo: dict[str, bytes] = {}
+        sizes = {i: len(t) for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])  # a character for each byte
 
-    def encode(self, text: str) -> np.ndarray:
+    def _chunks(self, text: str) -> list[str]:
         if "\x00" in text or _ODD_SPACE.search(text):
-            chunks = _CUT.split(text)
-        else:
-            chunks = text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, chunks)), "<u4")
+            return _CUT.split(text)
+        return text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
+
+    def _encode_joined(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        parts = [chunks[a : a + 200] for a in range(0, len(chunks), 200)]
+        joined = ["".join(p) for p in parts]
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum([len(c.encode()) for c in part])
+            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+            raw, a = ids.tobytes(), 0
+            for c, b in zip(part, cuts.tolist(), strict=True):
+                yield c, raw[4 * a : 4 * b]
+                a = b
+
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        # a letter and a mark after it never share a pre-token
+        marked = {c for c in missing if c[-1:] in _MARKS and c[-2:-1].isalpha()}
+        need = {c[:-1] if c in marked else c for c in missing} | {c[-1] for c in marked}
+        need = {c for c in need if c not in self.memo}
+        plain = [c for c in need if c[:1] in (" ", "\n") and c[1:2].strip() and c[-1].strip()]
+        found = dict(self._encode_joined(plain))
+        for c in need.difference(found):
+            found[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+        known = {**found, **{c: self.memo[c] for c in (*(m[:-1] for m in marked), *(m[-1] for m in marked)) if c in self.memo}}
+        for c in marked:
+            found[c] = known[c[:-1]] + known[c[-1]]
+        room = max(_MEMO - len(self.memo), 0)
+        self.memo.update(found if room >= len(found) else dict(islice(found.items(), room)))
+        return found
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        pieces = [self._chunks(t) for t in texts]
+        ids = [list(map(self.memo.get, p)) for p in pieces]
+        missing = {c for p, f in zip(pieces, ids, strict=True) for c, x in zip(p, f, strict=True) if x is None}
+        rest = self._learn(missing) if missing else {}
+        for p, f in zip(pieces, ids, strict=True):
+            if None in f:
+                f = [rest[c] if x is None else x for c, x in zip(p, f, strict=True)]
+            yield np.frombuffer(b"".join(f), "<u4")
+
+    def encode(self, text: str) -> np.ndarray:
+        return next(self.encode_all([text]))
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -188,10 +216,11 @@ def write_token_files(
                 doc_out = fs.open_output_stream(f"{base}/{stem}.docs.arrow")
                 doc_file = ipc.new_file(doc_out, doc_schema)
             counts = []
-            for text in batch.column("text").to_pylist():
-                ids = encoder(tokenizer).encode(text)
-                writer.add(np.append(ids, np.uint32(end_id)))
-                counts.append(len(ids) + 1)
+            for a in range(0, batch.num_rows, _TOGETHER):
+                texts = batch.column("text").slice(a, _TOGETHER).to_pylist()
+                for ids in encoder(tokenizer).encode_all(texts):
+                    writer.add(np.append(ids, np.uint32(end_id)))
+                    counts.append(len(ids) + 1)
             n_docs += len(counts)
             doc_file.write_batch(pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64())], schema=doc_schema))
         if writer is not None:

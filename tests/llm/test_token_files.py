@@ -15,11 +15,12 @@ from tests.conftest import SF_SMOKE
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet=" \n\t\r\x00\x1c\x85\xa0a.,!?'sé<|>1", max_size=25), max_size=4))
 def test_chunks_give_the_ids_of_the_whole(texts):
     want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
-    assert [tf.encoder(PATH).encode(t).tolist() for t in texts] == want
+    fresh = tf.ChunkEncoder(PATH) if len(texts) > 2 else tf.encoder(PATH)
+    assert [x.tolist() for x in fresh.encode_all(texts)] == want
 
 
 def _expected(rows):
