@@ -20,13 +20,13 @@ from lakeshore.operators.reconcile import (
 from lakeshore.operators.upsert import (
     DuplicateKeyError,
     check_no_matched_duplicates,
-    create_empty_table_like,
-    create_table_from_schema,
+    drop_old_versions,
     duplicated_keys,
     keep_unmatched,
     matched_duplicate_keys,
     merge_frames,
     overwrite_table,
+    rebucket_table,
     upsert_table,
 )
 
@@ -37,8 +37,7 @@ __all__ = [
     "commit_mark",
     "committed_mark",
     "count_reconciliation",
-    "create_empty_table_like",
-    "create_table_from_schema",
+    "drop_old_versions",
     "duplicated_keys",
     "keep_unmatched",
     "explode_items",
@@ -54,6 +53,7 @@ __all__ = [
     "newer_than",
     "newer_than_target",
     "overwrite_table",
+    "rebucket_table",
     "run_gate",
     "unnest",
     "upsert_table",

@@ -122,7 +122,7 @@ def count_reconciliation(pairs: Sequence[ReconcilePair]) -> DataFrame:
     )
 
 
-GATE_MESSAGE = "Validation failed for counts in source v.s. bronze"
+GATE_MESSAGE = "row counts of source and bronze copy differ"
 
 
 def validation_gate(totals: DataFrame, expected_tables: Sequence[str] | None = None) -> DataFrame:

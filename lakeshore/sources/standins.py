@@ -31,20 +31,9 @@ DRIVER_TABLES = (
 )
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's (read-only) tables; the resolved read is reused
-    within an application, so a query that uses a table several times lists
-    and resolves its file once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READS[key] = df
-    return df
+    """One of the driver's (read-only) tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts(text: str):

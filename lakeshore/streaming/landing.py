@@ -1,47 +1,83 @@
 """Bronze ingest of files landing in a folder, with Structured Streaming.
 
-The same replication as the JDBC path (P1): every micro-batch is filtered by
-the table's committed high-water mark and upserted on the merge key by
-``upsert_table``; the mark is advanced after the write. The stream's own
-checkpoint (under the shared ``spark.checkpoint.dir``) records which files were
-processed. A micro-batch that is replayed after a failure is harmless: the
-upsert is idempotent for non-NULL keys and guarded for NULL keys.
+The stream's own checkpoint (under the shared ``spark.checkpoint.dir``) records
+which files were processed, so every file is taken once and no high-water mark
+filters the batches: how many files share a batch must not decide which rows
+survive. Rows are resolved by key instead. Of the rows of a key in a batch the
+newest stamp wins (of equal stamps any one, as a whole row), and a row replaces the
+table's only if its stamp is newer; a NULL stamp is older than any other. Rows with
+a NULL key part match nothing and are appended. A replayed micro-batch is harmless:
+rows equal in key and stamp change nothing, and appended rows equal in all columns
+to one of the table are not appended again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lakeshore.context import PipelineContext
-from lakeshore.operators.incremental import commit_mark, newer_than
-from lakeshore.operators.upsert import create_bucketed_table_like, hashable_columns, upsert_table
+from lakeshore.functions.keys import any_null
+from lakeshore.operators.incremental import commit_mark
+from lakeshore.operators.upsert import (
+    BUCKET_COL,
+    create_bucketed_table_like,
+    hashable_columns,
+    resolve_columns,
+    upsert_table,
+)
 from lakeshore.plans.ingest import bucket_for, current_mark
 from lakeshore.session import scratch_path
 from lakeshore.specs import DatasetSpec
 
 
+def newest_per_key(batch: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
+    """One row per key without NULL parts: the one with the newest stamp."""
+    order = F.struct(F.col(stamp).isNotNull(), F.col(stamp))
+    row = F.struct(*[F.col(c) for c in batch.columns])
+    keyed = batch.where(~any_null(keys)).groupBy(*keys)
+    return keyed.agg(F.max_by(row, order).alias("_row")).select("_row.*")
+
+
+def newer_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
+    """The rows of ``batch`` that change ``target``."""
+    keys = resolve_columns(batch, keys)
+    held = target.where(~any_null(keys)).select(*keys, F.col(stamp).alias("_held"), F.lit(True).alias("_found"))
+    joined = newest_per_key(batch, keys, stamp).join(held, list(keys), "left")
+    newer = F.col("_found").isNull() | (F.col(stamp) > F.col("_held")) | (F.col("_held").isNull() & F.col(stamp).isNotNull())
+    matched = joined.where(newer).select(*batch.columns)
+    row_hash = F.xxhash64(*hashable_columns(batch)).alias("_hash")
+    known = target.where(any_null(keys)).select(row_hash)
+    loose = batch.where(any_null(keys)).select("*", row_hash).join(known, "_hash", "left_anti").drop("_hash")
+    return matched.unionByName(loose)
+
+
 def landing_batch_writer(ctx: PipelineContext, spec: DatasetSpec):
-    """``foreachBatch`` function: mark filter + keyed upsert of one micro-batch."""
+    """``foreachBatch`` function: newest row per key, keyed upsert of one micro-batch."""
     target = ctx.bronze(spec.name)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         create_bucketed_table_like(spark, target, batch)
-        mark = current_mark(spark, ctx, target, spec.watermark_column)
-        updates = newer_than(batch, spec.watermark_column, mark)
+        spark.catalog.refreshTable(target)
+        stamp = spec.watermark_column
         result = upsert_table(
             spark,
             target,
-            updates,
+            newer_rows(spark.read.table(target).drop(BUCKET_COL), batch, spec.merge_on, stamp),
             spec.merge_on,
             buckets=spec.buckets,
-            stamp=spec.watermark_column,
-            guard_mark=mark,
+            stamp=stamp,
+            check_duplicates=False,
             bucket=bucket_for(spec, hashable_columns(batch)),
         )
-        if result.max_stamp is not None and result.max_stamp != mark:
+        mark = current_mark(spark, ctx, target, stamp)
+        # stamps are rendered alike, so their texts compare as they do
+        if result.max_stamp is not None and (mark is None or str(result.max_stamp) > str(mark)):
             commit_mark(spark, ctx.control_db, target, result.max_stamp)
 
     return write
