@@ -53,6 +53,16 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
+# byte-level tokenizers show a byte by its own character if that is printable, the others by those from 256 on
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_VISIBLE = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+
+
+def _is_word(chunk: str) -> bool:
+    """A blank and Latin letters."""
+    return chunk[0] == " " and chunk[1:].isalpha() and max(chunk) < "\u0250"
+
+
 class ChunkEncoder:
     """A byte-level BPE tokenizer that remembers the ids of chunks.
 
@@ -92,7 +102,11 @@ class ChunkEncoder:
         need = {c[:-1] if c in marked else c for c in missing} | {c[-1] for c in marked}
         need = {c for c in need if c not in self.memo}
         plain = [c for c in need if c[:1] in (" ", "\n") and c[1:2].strip() and c[-1].strip()]
-        found = dict(self._encode_joined(plain))
+        found = dict(self._encode_joined([c for c in plain if not _is_word(c)]))
+        model = self.tokenizer.model
+        for c in plain:
+            if c not in found:  # one pre-token, so the model alone has to see it
+                found[c] = np.array([t.id for t in model.tokenize(c.encode().decode("latin-1").translate(_VISIBLE))], "<u4").tobytes()
         for c in need.difference(found):
             found[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
         known = {**found, **{c: self.memo[c] for c in (*(m[:-1] for m in marked), *(m[-1] for m in marked)) if c in self.memo}}
