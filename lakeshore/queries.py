@@ -15,6 +15,7 @@ rows, changed rows, and purged some old ones (``PURGE_*``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from lakeshore.context import PipelineContext
 from lakeshore.functions.attrs import attr, date_attrs, num_attrs, text_attrs
 from lakeshore.functions.keys import surrogate_key
-from lakeshore.operators.incremental import mark_frame, newer_than_target
+from lakeshore.operators.incremental import high_water_mark_text, mark_frame, newer_than, newer_than_target
 from lakeshore.operators.nesting import inline_items
 from lakeshore.operators.reconcile import (
     ReconcilePair,
@@ -32,7 +33,7 @@ from lakeshore.operators.reconcile import (
     missing_keys,
     validation_gate,
 )
-from lakeshore.operators.upsert import merge_frames
+from lakeshore.operators.upsert import BUCKET_COL, merge_frames, upsert_table
 from lakeshore.plans.conform import (
     conform_addresses,
     conform_customers,
@@ -40,9 +41,12 @@ from lakeshore.plans.conform import (
     conform_products,
     model_descriptions,
 )
+from lakeshore.plans.ingest import ingest_table
 from lakeshore.plans.serve import flatten_orders
+from lakeshore.session import shared_folder
 from lakeshore.sources import standins as S
 from lakeshore.sources.standins import standin_ctes
+from lakeshore.specs import spec_by_name
 
 CTX = PipelineContext(company="acme", env="dev")
 PREFIX = CTX.key_prefix  # 'dev_erp_'
@@ -164,6 +168,46 @@ def q_upsert_composite_key(spark, sf_dir):
     return merge_frames(target, updates, ["SalesOrderId", "SalesOrderDetailID"])
 
 
+def _fresh_context(spark: SparkSession) -> PipelineContext:
+    """A company of its own for each call, its databases in the shared folder."""
+    ctx = PipelineContext(company=f"run{uuid.uuid4().hex[:12]}", env="dev")
+    for db in {ctx.database("bronze_erp"), ctx.control_db}:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{shared_folder(spark)}/lakeshore/{db}'")
+    return ctx
+
+
+def _upserted(spark, snapshot: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """The stale copy and then the newer rows, by collected mark, written to a table."""
+    name = f"{_fresh_context(spark).database('bronze_erp')}.copy"
+    upsert_table(spark, name, snapshot, keys, stamp="ModifiedDate")
+    mark = high_water_mark_text(spark.read.table(name), "ModifiedDate")
+    upsert_table(spark, name, newer_than(source, "ModifiedDate", mark), keys, stamp="ModifiedDate")
+    return spark.read.table(name).drop(BUCKET_COL)
+
+
+def q_table_upsert_single(spark, sf_dir):
+    return _upserted(spark, header_snapshot(spark, sf_dir), S.salesorderheader(spark, sf_dir), ["SalesOrderID"])
+
+
+def q_table_upsert_composite(spark, sf_dir):
+    keys = ["SalesOrderID", "SalesOrderDetailID"]
+    return _upserted(spark, detail_snapshot(spark, sf_dir), S.salesorderdetail_unique(spark, sf_dir), keys)
+
+
+def q_table_upsert_surrogate(spark, sf_dir):
+    frames = (header_snapshot(spark, sf_dir), S.salesorderheader(spark, sf_dir))
+    old, new = (f.withColumn("id", surrogate_key("SalesOrderID", CTX)) for f in frames)
+    return _upserted(spark, old, new, ["id"])
+
+
+def q_ingest_two_runs(spark, sf_dir):
+    """The replication job twice: a first load of the stale copy, then the increment."""
+    ctx, spec = _fresh_context(spark), spec_by_name("sales_order_header")
+    for source in (header_snapshot(spark, sf_dir), S.salesorderheader(spark, sf_dir)):
+        ingest_table(spark, ctx, spec, source)
+    return spark.read.table(ctx.bronze(spec.name)).drop(BUCKET_COL)
+
+
 def q_surrogate_keys(spark, sf_dir):
     hdr = S.salesorderheader(spark, sf_dir)
     return hdr.select(
@@ -434,6 +478,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_read": q_incremental_read,
     "upsert_single_key": q_upsert_single_key,
     "upsert_composite_key": q_upsert_composite_key,
+    "table_upsert_single": q_table_upsert_single,
+    "table_upsert_composite": q_table_upsert_composite,
+    "table_upsert_surrogate": q_table_upsert_surrogate,
+    "ingest_two_runs": q_ingest_two_runs,
     "surrogate_keys": q_surrogate_keys,
     "nest_unnest": q_nest_unnest,
     "nested_line_counts": q_nested_line_counts,
@@ -701,15 +749,11 @@ LEFT JOIN addresses ba ON h.BillToAddressID = ba.AddressID""",
     "validation_keys": _with(_RECONCILE_CTES) + "\nSELECT table_name, pk, max(missing_in) AS missing_in FROM ("
     + "\n UNION \n".join(_foj_missing(t, c, s_, list(k)) for t, c, s_, k in RECONCILED)
     + "\n) u GROUP BY table_name, pk",
-    "validation_totals": _with(_RECONCILE_CTES) + """
-SELECT table_name, max(source_count) AS source_count, max(bronze_count) AS bronze_count,
-       max(source_count) = max(bronze_count) AS totals_do_match
-FROM (""" + "\n  UNION ".join(
-        f"SELECT '{t}' AS table_name, NULL::BIGINT AS source_count, count(*) AS bronze_count FROM {c}"
-        f"\n  UNION SELECT '{t}', count(*), NULL FROM {s_}"
+    "validation_totals": _with(_RECONCILE_CTES) + "\nSELECT *, source_count = bronze_count AS totals_do_match FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {s_}) AS source_count, (SELECT count(*) FROM {c}) AS bronze_count"
         for t, c, s_, _ in RECONCILED
-    ) + """
-) u GROUP BY table_name""",
+    ) + ") t",
     "validation_gate": _with(
         f"snap_h AS ({_HDR_SNAPSHOT})",
         f"snap_d AS ({_DET_SNAPSHOT})",
@@ -725,11 +769,19 @@ FROM (""" + "\n  UNION ".join(
     UNION ALL SELECT (SELECT count(*) FROM copy_d) = (SELECT count(*) FROM salesorderdetail_unique)
     UNION ALL SELECT (SELECT count(*) FROM customer) = (SELECT count(*) FROM customer))""",
     ) + """
-SELECT CASE WHEN bool_and(ok) THEN 'SUCCESS' ELSE error('Validation failed for counts in source v.s. bronze') END AS status
+SELECT CASE WHEN bool_and(ok) THEN 'SUCCESS' ELSE error('counts differ') END AS status
 FROM totals""",
 }
 
 
+# the tables written must hold what the frames do
+ORACLE_SQL["table_upsert_single"] = ORACLE_SQL["ingest_two_runs"] = ORACLE_SQL["upsert_single_key"]
+ORACLE_SQL["table_upsert_composite"] = ORACLE_SQL["upsert_composite_key"]
+ORACLE_SQL["table_upsert_surrogate"] = (
+    f"SELECT *, {_sha('SalesOrderID')} AS id FROM (" + ORACLE_SQL["upsert_single_key"] + ")"
+)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The end-to-end query: silver (nested orders, dimensions) to the gold report."""
     return q_orders_flattened(spark, sf_dir)
