@@ -12,7 +12,7 @@ shift. Then:
 
 1. anchors that occur once are dropped; the others mark their places;
 2. every window that holds a marked anchor is extended to its full length and
-   hashed with 128 bits; of equal windows all but the first are repeats. A later
+   hashed with 96 bits; of equal windows all but the first are repeats. A later
    copy of a whole text needs no windows: the first copy has them all;
 3. texts with repeats are cut; all others pass untouched and are never shuffled.
 
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.llm.common import shuffle_partitions, table, written
@@ -44,6 +44,8 @@ WINDOW = 20
 ANCHOR = 8
 PERIOD, COVER = 13, (0, 1, 3, 9)
 BITS = 1 << 23  # of the map of rows that may change
+_PLACE_BITS = 22
+_PLACES = 1 << _PLACE_BITS
 _LAST = (1 << 63) - 1  # order of a null doc_id
 
 
@@ -93,9 +95,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _anchor_rows(h, row, place, repeated, known) -> pa.RecordBatch:
-    """``info`` packs the place and two flags, which keeps the shuffled rows small."""
-    info = place.astype(np.int64) * 4 + repeated * 2 + known
-    return pa.RecordBatch.from_arrays([_signed(h), pa.array(row), pa.array(info)], ["anchor", "row_key", "info"])
+    """``info`` packs the row, the place and two flags, which keeps the shuffled rows small. Row and
+    place are cut to the bits there are: a row or place that shares them is a candidate in vain."""
+    info = (row << _PLACE_BITS + 2) | (place.astype(np.int64) % _PLACES) * 4 + repeated * 2 + known
+    return pa.RecordBatch.from_arrays([_signed(h), pa.array(info)], ["anchor", "info"])
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +126,8 @@ def _repeated(batch: pa.RecordBatch) -> pa.RecordBatch:
     tasks = np.bincount(group[~known], minlength=len(h))
     # an anchor that its own task found twice is among the known places
     keep = known | (~in_task & (tasks[group] > 1))
-    return pa.RecordBatch.from_arrays([batch.column("row_key"), pa.array((info >> 2).astype(np.int32))], ["row_key", "place"]).filter(pa.array(keep))
+    columns = [pa.array(info >> _PLACE_BITS + 2), pa.array((info >> 2 & _PLACES - 1).astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, ["row", "place"]).filter(pa.array(keep))
 
 
 def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
@@ -168,6 +172,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if y - x < WINDOW:
                 continue
             p = np.array(marks, np.int64)
+            if y - x > _PLACES:
+                p = (p[:, None] + np.arange(0, y - x, _PLACES)).ravel()
+            p = p[p < y - x]
             edge = np.zeros(y - x + 2, np.int64)
             np.add.at(edge, np.maximum(p - PERIOD + 1, 0), 1)
             np.add.at(edge, p + 1, -1)
@@ -180,6 +187,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not columns[0]:
         return
     h1, h2, doc, key, at = (np.concatenate(c) for c in columns)
+    h2 = h2 >> 32 << 32
     order = np.lexsort((at, key, doc, h2, h1))
     h1, h2, doc, key, at = (c[order] for c in (h1, h2, doc, key, at))
     new = np.ones(len(h1), bool)  # a repeated row has the same places as the row itself
@@ -187,11 +195,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     h1, h2, doc, key, at = (c[new] for c in (h1, h2, doc, key, at))
     later = np.zeros(len(h1), bool)
     later[1:] = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
-    h1, h2 = np.where(later, key * 31 + at, h1), np.where(later, 0, h2)
+    # 96 bits of the hashes are kept, half of the second beside the start
+    h1, high = np.where(later, key * 31 + at, h1), np.where(later, 0, h2 >> 32)
+    info = (high << 32) | (at * 2 + later)
     for a in range(0, len(h1), 100_000):
         cut = slice(a, a + 100_000)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c[cut]) for c in (h1, h2, doc, key, at * 2 + later)], ["h1", "h2", "doc", "row_key", "info"]
+            [pa.array(c[cut]) for c in (h1, doc, key, info)], ["h1", "doc", "row_key", "info"]
         )
 
 
@@ -203,28 +213,28 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeat = info & 1 == 1  # known to its task
         sent = np.flatnonzero(~repeat)
         if len(sent):
-            rows = np.stack([np.asarray(batch.column(c)) for c in ("h1", "h2", "row_key", "info")], axis=1)[sent]
+            rows = np.stack([np.asarray(batch.column(c)) for c in ("h1", "row_key", "info")] + [info >> 32], axis=1)[sent]
             before = np.concatenate([rows[:1] if last is None else last, rows[:-1]])
             same = (rows == before).all(axis=1)  # of a repeated row, or the very first
-            repeat[sent] = (rows[:, :2] == before[:, :2]).all(axis=1) & ~same
+            repeat[sent] = (rows[:, [0, 3]] == before[:, [0, 3]]).all(axis=1) & ~same
             last = rows[-1:].copy()
-        columns = [batch.column("row_key"), batch.column("doc"), pa.array(info >> 1)]
+        columns = [batch.column("row_key"), batch.column("doc"), pa.array((info & 0xFFFFFFFF) >> 1)]
         yield pa.RecordBatch.from_arrays(columns, ["row_key", "doc", "start"]).filter(pa.array(repeat))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words of their repeats."""
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "is_copy", "repeats")), strict=True)
+        rows = zip(*(batch.column(c).to_pylist() for c in ("doc", "row_key", "text", "is_copy", "repeats")), strict=True)
         counts, removed, kept_texts = [], [], []
-        for doc, text, is_copy, repeats in rows:
+        for doc, key, text, is_copy, repeats in rows:
             words = text.encode().split()
             n = len(words)
             edge = np.zeros(n + 1, np.int64)
             if is_copy and n >= WINDOW:
                 edge[0] = 1
             for r in repeats or ():
-                if r["doc"] == doc:
+                if r["doc"] == doc and r["row_key"] == key:
                     edge[r["start"]] += 1
                     edge[r["start"] + WINDOW] -= 1
             gone = np.cumsum(edge)[:n] > 0
@@ -244,29 +254,35 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked_rows(keyed: DataFrame) -> DataFrame:
-    """row_key, places, is_copy of the rows that may lose words."""
+    """row, places, copies (row keys of later copies) of the rows that may lose words."""
     n = shuffle_partitions(keyed.sparkSession)
-    anchors = keyed.select("text", "row_key").mapInArrow(_anchors, "anchor bigint, row_key bigint, info bigint")
+    anchors = keyed.select("text", "row_key").mapInArrow(_anchors, "anchor bigint, info bigint")
     places = (
         anchors.repartition(n, "anchor")
         .sortWithinPartitions("anchor")
-        .mapInArrow(_marked, "row_key bigint, place int")
-        .groupBy("row_key")
-        .agg(F.collect_list("place").alias("places"))
+        .mapInArrow(_marked, "row bigint, place int")
+        .groupBy("row")
+        .agg(F.collect_set("place").alias("places"))
     )
     # a later copy of a whole text: every window of it starts earlier, in the first copy
     rows = written(keyed.select("doc", "row_key", F.unhex(F.md5("text")).alias("digest")), "substring-digests")
     place = F.struct("doc", "row_key")
     groups = rows.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = rows.join(groups, "digest").where(place != F.col("first")).select("row_key").distinct()
-    both = places.withColumn("is_copy", F.lit(False)).unionByName(
-        copies.withColumn("is_copy", F.lit(True)), allowMissingColumns=True
+    row = _row(F.col("row_key")).alias("row")
+    both = places.unionByName(
+        copies.groupBy(row).agg(F.collect_set("row_key").alias("copies")), allowMissingColumns=True
     )
-    return both.groupBy("row_key").agg(
-        F.first("places", ignorenulls=True).alias("places"), F.max("is_copy").alias("is_copy")
+    return both.groupBy("row").agg(
+        F.first("places", ignorenulls=True).alias("places"), F.first("copies", ignorenulls=True).alias("copies")
     )
 
 
+def _row(row_key: Column) -> Column:
+    """The bits of a row key that go with an anchor."""
+    return F.shiftright(F.shiftleft(row_key, _PLACE_BITS + 2), _PLACE_BITS + 2)
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text for each row of ``docs`` (doc_id, text).
 
@@ -281,9 +297,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     marks = written(_marked_rows(keyed), "substring-marks")
     # a bit for each marked row, in a map of fixed size: texts of rows without it are not shuffled
-    slot = F.col("row_key").bitwiseAND(F.lit(BITS - 1))
+    slot = F.col("row").bitwiseAND(F.lit(BITS - 1))
     words = marks.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast((row_key & {BITS - 1}) & 63 as int))")).alias("bits")
+        F.bit_or(F.expr(f"shiftleft(1L, cast((row & {BITS - 1}) & 63 as int))")).alias("bits")
     )
     bits = np.zeros(BITS // 64, np.uint64)
     for r in words.toLocalIterator():  # at most BITS / 64 rows
@@ -302,18 +318,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     suspects = rows.where(F.col("text").isNotNull()).select(
         "doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "row_key", "text"
     )
-    joined = suspects.join(marks, "row_key", "left")
+    joined = suspects.withColumn("row", _row(F.col("row_key"))).join(marks, "row", "left")
+    is_copy = F.coalesce(F.array_contains("copies", F.col("row_key")), F.lit(False))
     repeats = (
-        joined.where(F.col("places").isNotNull() & ~F.col("is_copy"))
+        joined.where(F.col("places").isNotNull() & ~is_copy)
         .select("doc", "row_key", "text", "places")
-        .mapInArrow(_windows, "h1 bigint, h2 bigint, doc bigint, row_key bigint, info bigint")
+        .mapInArrow(_windows, "h1 bigint, doc bigint, row_key bigint, info bigint")
         .repartition(shuffle_partitions(spark), "h1")
-        .sortWithinPartitions("h1", "h2", "doc", "row_key", "info")
+        .sortWithinPartitions("h1", F.shiftright("info", 32), "doc", "row_key", "info")
         .mapInArrow(_later, "row_key bigint, doc bigint, start bigint")
-        .groupBy("row_key")
-        .agg(F.collect_list(F.struct("doc", "start")).alias("repeats"))
+        .groupBy(_row(F.col("row_key")).alias("row"))
+        .agg(F.collect_list(F.struct("row_key", "doc", "start")).alias("repeats"))
+    )
+    cut = joined.join(repeats, "row", "left").select(
+        "doc_id", "doc", "row_key", "text", is_copy.alias("is_copy"), "repeats"
     )
-    cut = joined.join(repeats, "row_key", "left").select("doc_id", "doc", "text", "is_copy", "repeats")
     cut = cut.mapInArrow(
         _cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
     )
