@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from lakeshore.operators.reconcile import GATE_MESSAGE
 from lakeshore.operators.reconcile import (
     ReconcilePair,
     count_reconciliation,
@@ -54,12 +55,12 @@ def test_counts_and_gate(spark):
     assert run_gate(ok, ["t"]) == "SUCCESS"
     bad = count_reconciliation([ReconcilePair("t", two, one, ("id",)), ReconcilePair("u", one, one, ("id",))])
     assert rows(bad) == [("t", 2, 1, False), ("u", 2, 2, True)]
-    with pytest.raises(Exception, match="Validation failed"):
+    with pytest.raises(Exception, match=GATE_MESSAGE):
         run_gate(bad)
 
 
 def test_gate_fold_passes_on_empty_but_checks_presence(spark):
     empty = spark.createDataFrame([], "table_name string, source_count bigint, bronze_count bigint, totals_do_match boolean")
     assert validation_gate(empty).first()["status"] == "SUCCESS"
-    with pytest.raises(Exception, match="Validation failed"):
+    with pytest.raises(Exception, match=GATE_MESSAGE):
         run_gate(empty, ["customer"])
