@@ -46,6 +46,7 @@ COSINE = 0.35
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 5
 QUERIES = 4096
+SKETCH = 1024  # places of the hashed word set of a passage
 
 _LEAK = "array<struct<item_id: bigint, lcs: double, answer: double, cosine: double, first_word: bigint>>"
 _LEAK_ARROW = pa.list_(
@@ -92,6 +93,7 @@ class Passages:
     words: list[np.ndarray]
     answers: list[np.ndarray]
     vectors: np.ndarray  # latent, of length 1
+    sets: list[frozenset]
 
 
 @dataclass
@@ -230,6 +232,7 @@ def _query_set(rows: list, slots: np.ndarray, idf: np.ndarray, basis: np.ndarray
         [np.array(r["words"], np.int64) for r in rows],
         [np.array(r["answer"], np.int64) for r in rows],
         vectors.astype(np.float32),
+        [frozenset(r["words"]) for r in rows],
     )
 
 
@@ -251,31 +254,33 @@ def _block_vectors(words: np.ndarray, first: np.ndarray, index: LatentIndex) ->
     slot = index.slots[_terms(words)]
     block, slot = block[slot >= 0], slot[slot >= 0]
     out = np.zeros((int(row_block[-1]) + _MOST, index.basis.shape[1]), np.float32)
-    for a in range(0, len(slot), 16384):
-        b = block[a : a + 16384]
+    step = 2048  # words whose rows stay in the processor's cache
+    for a in range(0, len(slot), step):
+        b = block[a : a + step]
         heads = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
-        out[b[heads]] += np.add.reduceat(index.basis[slot[a : a + 16384]], heads, axis=0)
+        out[b[heads]] += np.add.reduceat(index.basis[slot[a : a + step]], heads, axis=0)
     return out, row_block
 
 
-def _candidates(blocks: np.ndarray, passages: Passages) -> Iterator[tuple[int, int, int, float]]:
-    """First block, blocks, passage and cosine of the windows close to a passage."""
+def _candidates(blocks: np.ndarray, passages: Passages) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+    """First block, blocks, passage and cosine of the windows close to a passage, many at a time."""
     need = np.array([_blocks_for(len(w)) for w in passages.words])
-    for size in range(1, _MOST + 1):
-        pick = np.flatnonzero(need == size)
-        if not len(pick):
-            continue
-        queries = passages.vectors[pick].T
-        for a in range(0, len(blocks) - _MOST, 8192):
-            part = blocks[a : min(a + 8192, len(blocks) - _MOST) + size - 1]
-            n = len(part) - size + 1
-            sums = part[:n].copy()
-            for k in range(1, size):
-                sums += part[k : k + n]
+    sizes = [(size, np.flatnonzero(need == size)) for size in range(1, _MOST + 1)]
+    sizes = [(size, pick, passages.vectors[pick].T) for size, pick in sizes if len(pick)]
+    step, total = 1024, len(blocks) - _MOST  # blocks whose sums stay in the processor's cache
+    for a in range(0, total, step):
+        n = min(step, total - a)
+        part = blocks[a : a + n + _MOST]
+        sums, held = part[:n].copy(), 1
+        for size, pick, queries in sizes:
+            while held < size:
+                sums += part[held : held + n]
+                held += 1
             norms = np.maximum(np.sqrt(np.einsum("ij,ij->i", sums, sums)), 1e-9)
-            close = (sums @ queries) / norms[:, None]
-            for i, j in zip(*np.nonzero(close >= COSINE), strict=True):
-                yield a + int(i), size, int(pick[j]), float(close[i, j])
+            close = sums @ queries
+            i, j = np.nonzero(close >= COSINE * norms[:, None])
+            if len(i):
+                yield a + i, size, pick[j], close[i, j] / norms[i]
 
 
 def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
@@ -286,34 +291,42 @@ def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
     if not len(words) or not index.queries:
         return [[] for _ in out]
     blocks, row_block = _block_vectors(words, first, index)
+    sketch_at = _terms(words) % SKETCH
     for passages in index.queries:
-        sets = [frozenset(w.tolist()) for w in passages.words]
         lists = [w.tolist() for w in passages.words]
-        for block, size, p, cosine in _candidates(blocks, passages):
-            row = int(np.searchsorted(row_block, block, side="right")) - 1
-            if row >= len(out):
-                continue
+        lengths = np.array([len(w) for w in lists])
+        sketch = np.zeros((len(lists), SKETCH), bool)
+        for p, w in enumerate(passages.words):
+            sketch[p, _terms(w) % SKETCH] = True
+        for block, size, which, cosines in _candidates(blocks, passages):
+            row = np.searchsorted(row_block, block, side="right") - 1
             begin = first[row] + (block - row_block[row]) * BLOCK
-            region = words[begin : min(begin + size * BLOCK, first[row + 1])].tolist()
-            wanted = lists[p]
-            # no subsequence is longer than the words in common
-            if sum(w in sets[p] for w in region) < PARAPHRASE * len(wanted):
-                continue
-            share = lcs(wanted, region) / len(wanted)
-            if share < PARAPHRASE:
-                continue
-            answer = passages.answers[p].tolist()
-            has = lcs(answer, region) / max(len(answer), 1)
-            if share < COPY and has < ANSWER:
-                continue
-            item = passages.item_ids[p]
-            if item not in out[row] or share > out[row][item]["lcs"]:
-                out[row][item] = {
-                    "item_id": item, "lcs": share, "answer": has, "cosine": cosine, "first_word": int(begin - first[row])
-                }
+            end = np.minimum(begin + size * BLOCK, first[row + 1])
+            # no subsequence is longer than the words in common, and a sketch never has fewer of them
+            at = begin[:, None] + np.arange(size * BLOCK)
+            common = sketch[which[:, None], sketch_at[np.minimum(at, len(words) - 1)]] & (at < end[:, None])
+            for c in np.flatnonzero(common.sum(axis=1) >= PARAPHRASE * lengths[which]):
+                _confirm(out[row[c]], words[begin[c] : end[c]].tolist(), lists, passages, int(which[c]), float(cosines[c]), int(begin[c] - first[row[c]]))
     return [sorted(x.values(), key=lambda d: (d["item_id"] is None, d["item_id"] or 0)) for x in out]
 
 
+def _confirm(
+    found: dict, region: list[int], lists: list[list[int]], passages: Passages, p: int, cosine: float, first_word: int
+) -> None:
+    """Add the passage's item to those found in a text if the region's words bear it out."""
+    wanted, wanted_set = lists[p], passages.sets[p]
+    if sum(w in wanted_set for w in region) < PARAPHRASE * len(wanted):
+        return
+    share = lcs(wanted, region) / len(wanted)
+    if share < PARAPHRASE:
+        return
+    answer = passages.answers[p].tolist()
+    has = lcs(answer, region) / max(len(answer), 1)
+    item = passages.item_ids[p]
+    if (share >= COPY or has >= ANSWER) and (item not in found or share > found[item]["lcs"]):
+        found[item] = {"item_id": item, "lcs": share, "answer": has, "cosine": cosine, "first_word": first_word}
+
+
 def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") -> DataFrame:
     """``docs`` with an array of the benchmark items that each text holds."""
     docs = docs.drop(column)
