@@ -1,8 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are cut into passages of at most ``PASSAGE`` words, weighed by
-TF-IDF over hashed terms (document frequencies from all documents), and a
-distributed randomised SVD of the passages gives a latent space of ``RANK``
+Benchmark items are cut into passages of at most ``PASSAGE`` words, the last of
+which ends with its item, so every word of a longer item is in a full passage. They
+are weighed by TF-IDF over hashed terms (document frequencies from all documents),
+and a distributed randomised SVD of the passages gives a latent space of ``RANK``
 dimensions: each task multiplies its passages with the current basis, products are
 summed in a tree, and the driver only orthogonalises a matrix whose size is a
 parameter. Documents are read once more: blocks of ``BLOCK`` words are folded into
@@ -103,6 +104,13 @@ class LatentIndex:
     queries: list[Passages]
 
 
+def passage_starts(n_words: int) -> list[int]:
+    """First words of the passages of an item; the last passage of a long one ends where the item does."""
+    if n_words <= PASSAGE:
+        return [0] if n_words else []
+    return [*range(0, n_words - PASSAGE, STRIDE), n_words - PASSAGE]
+
+
 def benchmark_passages(benchmark: DataFrame) -> DataFrame:
     """item_id, words (hashes), answer (hashes) of every passage."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
@@ -118,10 +126,8 @@ def benchmark_passages(benchmark: DataFrame) -> DataFrame:
             for item, text, given in zip(batch.item_id, batch.text, batch.answer, strict=True):
                 h = _hashes(text)
                 a = answer_of(text, given if isinstance(given, str) else None).view(np.int64).tolist() if len(h) else []
-                for s in range(0, max(len(h) - STRIDE + PASSAGE, PASSAGE) - PASSAGE + 1, STRIDE) if len(h) else []:
-                    piece = h[s : s + PASSAGE]
-                    if len(piece):
-                        out.append((None if pd.isna(item) else int(item), piece.view(np.int64).tolist(), a))
+                for s in passage_starts(len(h)):
+                    out.append((None if pd.isna(item) else int(item), h[s : s + PASSAGE].view(np.int64).tolist(), a))
             yield pd.DataFrame(out, columns=["item_id", "words", "answer"])
 
     return items.mapInPandas(cut, "item_id bigint, words array<bigint>, answer array<bigint>")

@@ -69,6 +69,46 @@ def test_paraphrase_needs_the_answer():
     assert len(dc.answer_of(" ".join(q), "q1 q2")) == 2
 
 
+def sentences(rng, vocab, n):
+    """So many words, in sentences of ten or a few more."""
+    w = rng.choices(vocab, k=n)
+    return [x + "." if k == n - 1 or k % 10 == 9 and n - k > 10 else x for k, x in enumerate(w)]
+
+
+def inside(rng, vocab, piece):
+    """A text that holds the words between others."""
+    return " ".join([*rng.choices(vocab, k=rng.randrange(30, 90)), *piece, *rng.choices(vocab, k=rng.randrange(30, 90))])
+
+
+def found_in(spark, docs, items):
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dc.with_leaks(d, spark.createDataFrame(items, "item_id long, text string"))
+    return {(r.doc_id, x.item_id) for r in got.collect() for x in r.leaks}
+
+
+VOCAB = [f"v{i}" for i in range(900)] + ["the", "of", "and", "to"] * 60
+
+
+def test_every_word_is_in_a_full_passage():
+    for n in range(1, 500):
+        starts = dc.passage_starts(n)
+        assert starts == sorted(set(starts))
+        assert {w for s in starts for w in range(s, min(s + dc.PASSAGE, n))} == set(range(n))
+        assert n <= dc.PASSAGE or all(s + dc.PASSAGE <= n for s in starts)
+    assert dc.passage_starts(0) == []
+
+
+def test_copies_of_the_tail_of_long_items(spark):
+    rng = random.Random(5)
+    items = [(n, sentences(rng, VOCAB, n)) for n in (65, 80, 95, 143, 191)]
+    docs, want = [], set()
+    for n, w in items:
+        for size in (52, 64):
+            want.add((len(docs), n))
+            docs.append((len(docs), inside(rng, VOCAB, w[-size:])))
+    assert want <= found_in(spark, docs, [(n, " ".join(w)) for n, w in items])
+
+
 def test_odd_rows(spark):
     item = " ".join(f"w{i}" for i in range(30))
     long = " ".join(f"x{i}" for i in range(400))
