@@ -11,7 +11,8 @@ the space, windows are sums of neighbouring blocks just long enough to hold a
 passage at any place, and windows whose cosine with a passage reaches ``COSINE``
 are candidates. A candidate is confirmed on words: the longest common subsequence
 must cover ``COPY`` of the passage, or ``PARAPHRASE`` of it when the answer (the
-item's ``answer``, else its last sentence) is there too.
+item's ``answer``, else its last sentence) is there too: in the window, or in one of
+its length where the whole item is to be expected around it.
 
 The benchmark is the stated query set. Its passages go through in sets of
 ``QUERIES`` at a time, which bounds what a task holds however long it is.
@@ -95,6 +96,8 @@ class Passages:
     answers: list[np.ndarray]
     vectors: np.ndarray  # latent, of length 1
     sets: list[frozenset]
+    starts: list[int]  # first word of the passage in its item
+    item_words: list[int]  # of the whole item
 
 
 @dataclass
@@ -112,7 +115,7 @@ def passage_starts(n_words: int) -> list[int]:
 
 
 def benchmark_passages(benchmark: DataFrame) -> DataFrame:
-    """item_id, words (hashes), answer (hashes) of every passage."""
+    """item_id, words (hashes), answer (hashes), start in the item and the item's length of every passage."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = (
         benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text", answer.alias("answer"))
@@ -127,10 +130,11 @@ def benchmark_passages(benchmark: DataFrame) -> DataFrame:
                 h = _hashes(text)
                 a = answer_of(text, given if isinstance(given, str) else None).view(np.int64).tolist() if len(h) else []
                 for s in passage_starts(len(h)):
-                    out.append((None if pd.isna(item) else int(item), h[s : s + PASSAGE].view(np.int64).tolist(), a))
-            yield pd.DataFrame(out, columns=["item_id", "words", "answer"])
+                    piece = h[s : s + PASSAGE].view(np.int64).tolist()
+                    out.append((None if pd.isna(item) else int(item), piece, a, s, len(h)))
+            yield pd.DataFrame(out, columns=["item_id", "words", "answer", "start", "item_words"])
 
-    return items.mapInPandas(cut, "item_id bigint, words array<bigint>, answer array<bigint>")
+    return items.mapInPandas(cut, "item_id bigint, words array<bigint>, answer array<bigint>, start int, item_words int")
 
 
 def _terms(words: np.ndarray) -> np.ndarray:
@@ -239,6 +243,8 @@ def _query_set(rows: list, slots: np.ndarray, idf: np.ndarray, basis: np.ndarray
         [np.array(r["answer"], np.int64) for r in rows],
         vectors.astype(np.float32),
         [frozenset(r["words"]) for r in rows],
+        [r["start"] for r in rows],
+        [r["item_words"] for r in rows],
     )
 
 
@@ -312,25 +318,44 @@ def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
             at = begin[:, None] + np.arange(size * BLOCK)
             common = sketch[which[:, None], sketch_at[np.minimum(at, len(words) - 1)]] & (at < end[:, None])
             for c in np.flatnonzero(common.sum(axis=1) >= PARAPHRASE * lengths[which]):
-                _confirm(out[row[c]], words[begin[c] : end[c]].tolist(), lists, passages, int(which[c]), float(cosines[c]), int(begin[c] - first[row[c]]))
+                r, text = row[c], words[first[row[c]] : first[row[c] + 1]]
+                _confirm(out[r], text, int(begin[c] - first[r]), int(end[c] - first[r]), lists, passages, int(which[c]), float(cosines[c]))
     return [sorted(x.values(), key=lambda d: (d["item_id"] is None, d["item_id"] or 0)) for x in out]
 
 
+def _answer_share(answer: list[int], text: np.ndarray, begin: int, end: int, passages: Passages, p: int) -> float:
+    """The largest share of the answer in the window, or in one at least as long around the whole item."""
+    if not answer:
+        return 0.0
+    best = lcs(answer, text[begin:end].tolist())
+    if best >= ANSWER * len(answer):
+        return best / len(answer)
+    start, n, held = passages.starts[p], passages.item_words[p], len(passages.words[p])
+    margin = BLOCK + n // 4 + len(answer)  # other words between, an answer after the item
+    size = max(end - begin, _blocks_for(len(answer)) * BLOCK)
+    first, last = max(begin - start - margin, 0), min(end + n - start - held + margin, len(text))
+    at = np.append(0, np.cumsum(np.isin(text[first:last], answer)))
+    for a in range(0, max(last - first - size + BLOCK, 1), BLOCK):
+        b = min(a + size, last - first)
+        if at[b] - at[a] > best:  # no subsequence is longer than the words in common
+            best = max(best, lcs(answer, text[first + a : first + b].tolist()))
+    return best / len(answer)
+
+
 def _confirm(
-    found: dict, region: list[int], lists: list[list[int]], passages: Passages, p: int, cosine: float, first_word: int
+    found: dict, text: np.ndarray, begin: int, end: int, lists: list[list[int]], passages: Passages, p: int, cosine: float
 ) -> None:
-    """Add the passage's item to those found in a text if the region's words bear it out."""
-    wanted, wanted_set = lists[p], passages.sets[p]
+    """Add the passage's item to those found in a text if the words of the window, and around it, bear it out."""
+    item, wanted, wanted_set = passages.item_ids[p], lists[p], passages.sets[p]
+    region = text[begin:end].tolist()
     if sum(w in wanted_set for w in region) < PARAPHRASE * len(wanted):
         return
     share = lcs(wanted, region) / len(wanted)
-    if share < PARAPHRASE:
+    if share < PARAPHRASE or (item in found and share <= found[item]["lcs"]):
         return
-    answer = passages.answers[p].tolist()
-    has = lcs(answer, region) / max(len(answer), 1)
-    item = passages.item_ids[p]
-    if (share >= COPY or has >= ANSWER) and (item not in found or share > found[item]["lcs"]):
-        found[item] = {"item_id": item, "lcs": share, "answer": has, "cosine": cosine, "first_word": first_word}
+    has = _answer_share(passages.answers[p].tolist(), text, begin, end, passages, p)
+    if share >= COPY or has >= ANSWER:
+        found[item] = {"item_id": item, "lcs": share, "answer": has, "cosine": cosine, "first_word": begin}
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") -> DataFrame:

@@ -109,6 +109,30 @@ def test_copies_of_the_tail_of_long_items(spark):
     assert want <= found_in(spark, docs, [(n, " ".join(w)) for n, w in items])
 
 
+def test_paraphrases_whose_answer_stands_outside_the_window(spark):
+    """Three words in ten replaced, the answer kept, as the item's last sentence or given with it."""
+    rng = random.Random(8)
+    items, docs, want = [], [], set()
+    for n in (60, 80, 90, 95, 140, 300):
+        for k in range(10):
+            answer = [f"a{n}x{k}w{i}" for i in range(12)]
+            body = sentences(rng, VOCAB, n - 12)
+            given = k % 2
+            items.append((n * 100 + k, " ".join(body if given else [*body, *answer]), " ".join(answer) if given else None))
+            edited = list(body)
+            for at in rng.sample(range(len(body)), round(0.3 * len(body))):
+                edited[at] = f"e{at}"
+            want.add((len(docs), n * 100 + k))
+            docs.append((len(docs), inside(rng, VOCAB, [*edited, *answer])))
+            docs.append((len(docs), inside(rng, VOCAB, edited)))  # without the answer
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = dc.with_leaks(d, spark.createDataFrame(items, "item_id long, text string, answer string")).collect()
+    got = {(r.doc_id, x.item_id): x for r in got for x in r.leaks}
+    assert len(want & set(got)) >= 0.95 * len(want)
+    assert all(got[x].answer >= dc.ANSWER for x in want & set(got))
+    assert all(x.lcs >= dc.COPY for key, x in got.items() if key not in want)
+
+
 def test_odd_rows(spark):
     item = " ".join(f"w{i}" for i in range(30))
     long = " ".join(f"x{i}" for i in range(400))
