@@ -10,9 +10,11 @@ parameter. Documents are read once more: blocks of ``BLOCK`` words are folded in
 the space, windows are sums of neighbouring blocks just long enough to hold a
 passage at any place, and windows whose cosine with a passage reaches ``COSINE``
 are candidates. A candidate is confirmed on words: the longest common subsequence
-must cover ``COPY`` of the passage, or ``PARAPHRASE`` of it when the answer (the
-item's ``answer``, else its last sentence) is there too: in the window, or in one of
-its length where the whole item is to be expected around it.
+must cover ``COPY`` of the passage, or ``PARAPHRASE`` of it when ``RUN`` words of it
+are there in one piece or the answer (the item's ``answer``, else its last sentence)
+is there too: in the window, or in one of its length where the whole item is to be
+expected around it. Passages start every ``STRIDE`` words, so ``RUN`` words from any
+place of an item lie whole in one of its passages.
 
 The benchmark is the stated query set. Its passages go through in sets of
 ``QUERIES`` at a time, which bounds what a task holds however long it is.
@@ -40,13 +42,14 @@ from pyspark.sql import types as T
 from lakeshore.llm.common import table, written
 from lakeshore.llm.words import hash_words, text_buffer, word_spans
 
-PASSAGE, STRIDE = 64, 48  # words of a passage, and between the starts of two
+PASSAGE, STRIDE = 64, 12  # words of a passage, and between the starts of two; (1 - COPY) * PASSAGE at most
 BLOCK = 16
 RANK, EXTRA, TURNS = 128, 8, 2  # of the randomised SVD
 TERMS = 1 << 16  # hashed terms
 COSINE = 0.35
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 ANSWER_WORDS = 5
+RUN = 39  # words in one piece that are a copy by themselves: PARAPHRASE of a full passage
 QUERIES = 4096
 SKETCH = 1024  # places of the hashed word set of a passage
 
@@ -323,6 +326,12 @@ def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
     return [sorted(x.values(), key=lambda d: (d["item_id"] is None, d["item_id"] or 0)) for x in out]
 
 
+def _has_run(wanted: list[int], region: list[int]) -> bool:
+    """Whether ``RUN`` words of the passage stand in the region in one piece."""
+    runs = {tuple(wanted[i : i + RUN]) for i in range(len(wanted) - RUN + 1)}
+    return bool(runs) and any(tuple(region[i : i + RUN]) in runs for i in range(len(region) - RUN + 1))
+
+
 def _answer_share(answer: list[int], text: np.ndarray, begin: int, end: int, passages: Passages, p: int) -> float:
     """The largest share of the answer in the window, or in one at least as long around the whole item."""
     if not answer:
@@ -354,7 +363,7 @@ def _confirm(
     if share < PARAPHRASE or (item in found and share <= found[item]["lcs"]):
         return
     has = _answer_share(passages.answers[p].tolist(), text, begin, end, passages, p)
-    if share >= COPY or has >= ANSWER:
+    if share >= COPY or has >= ANSWER or _has_run(wanted, region):
         found[item] = {"item_id": item, "lcs": share, "answer": has, "cosine": cosine, "first_word": begin}
 
 

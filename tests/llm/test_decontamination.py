@@ -133,6 +133,18 @@ def test_paraphrases_whose_answer_stands_outside_the_window(spark):
     assert all(x.lcs >= dc.COPY for key, x in got.items() if key not in want)
 
 
+def test_verbatim_excerpts_at_every_offset(spark):
+    rng = random.Random(9)
+    items = [(i, sentences(rng, VOCAB, n)) for i, n in enumerate([400, 80, *[rng.randrange(15, 200) for _ in range(150)]])]
+    docs, want = [], set()
+    for i, size in ((0, 39), (0, 52), (0, 64), (0, 80), (1, 50)):
+        for at in range(len(items[i][1]) - size + 1):
+            want.add((len(docs), i))
+            docs.append((len(docs), inside(rng, VOCAB, items[i][1][at : at + size])))
+    lost = want - found_in(spark, docs, [(i, " ".join(w)) for i, w in items])
+    assert not lost, f"{len(lost)} of {len(want)}"
+
+
 def test_odd_rows(spark):
     item = " ".join(f"w{i}" for i in range(30))
     long = " ".join(f"x{i}" for i in range(400))
