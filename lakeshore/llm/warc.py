@@ -14,7 +14,8 @@ Defined cases: a null or empty page gives records with an empty text and no link
 a null url becomes an empty target; line breaks in a url are dropped from headers;
 rows that repeat are derived each, with equal identifiers; a null ``page_id`` is
 left out of the headers; an empty table gives no records; extra columns are
-ignored; very long pages are converted whole.
+ignored; very long pages are converted whole; a head that is not closed hides
+nothing of the body.
 """
 
 from __future__ import annotations
@@ -33,7 +34,14 @@ VERSION = "WARC/1.1"
 CRLF = "\r\n"
 SEPARATOR = CRLF + CRLF
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_NAME_ENDS = r"(?=[\s/>]|\Z)"  # <head-banner> is no <head>
+_HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|title)" + _NAME_ENDS, re.I)
+_CLOSE = {"": re.compile("-->")} | {
+    name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "title")
+}
+_HEAD = re.compile("<head" + _NAME_ENDS, re.I)
+_HEAD_END = re.compile("</head" + _NAME_ENDS, re.I)
+_BODY = re.compile("<body" + _NAME_ENDS, re.I)
 _BREAK = re.compile(
     r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|table|tr|article|section|nav|header|footer|main|aside|pre|blockquote|form|title)\b[^>]*>",
     re.I,
@@ -41,13 +49,38 @@ _BREAK = re.compile(
 _TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
 _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[\s]*")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
+_TITLE = re.compile(rf"<title{_NAME_ENDS}[^>]*>(.*?)</title{_NAME_ENDS}", re.S | re.I)
 _LINK = re.compile(r"<(?:a|area)\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+def without_hidden(page: str) -> str:
+    """The page without comments and the elements that show no text.
+
+    Nothing else of a head shows, so the head's own tags, which HTML allows to leave
+    out, need not be paired. What is not closed ends with the head, else at the body,
+    else with the page; a title ends at the next tag at the latest.
+    """
+    head = _HEAD.search(page)
+    head_end = head and _HEAD_END.search(page, head.end())
+    kept, at, unclosed = [], 0, set()
+    while found := _HIDDEN.search(page, at):
+        kept += [page[at : found.start()], " "]
+        name = (found[1] or "").lower()
+        close = None if name in unclosed else _CLOSE[name].search(page, found.end())
+        if close:
+            at = close.end()
+        else:
+            unclosed.add(name)
+            end = (_TAG if name == "title" else _BODY).search(page, found.end())
+            at = end.start() if end else len(page)
+        if head_end and found.start() < head_end.start():
+            at = min(at, head_end.start())
+    return "".join([*kept, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """The visible text of a page: a line for each block, blanks folded."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
+    text = _TAG.sub("", _BREAK.sub("\n", without_hidden(page)))
     text = _BLANK.sub(" ", entities.unescape(text).replace("\r", "\n"))
     return _LINES.sub("\n", text).strip()
 

@@ -46,6 +46,26 @@ def test_plain_text():
     assert warc.title_and_links(page + "<a class=x href='/q?a=1&amp;b'>") == ("T & t", ["/q?a=1&b"])
 
 
+def test_heads_that_are_not_closed():
+    for page, text in {
+        "<html><head><title>T</title><body><p>Hello world</p></body></html>": "Hello world",
+        "<html><head><title>T</title><meta charset=x><p>Hello</p> world": "Hello\nworld",
+        "<HEAD><STYLE>p{}</STYLE><TITLE>T</TITLE><BODY class=a>Hello": "Hello",
+        "<head><title>T<body><p>Hello": "Hello",
+        "<title>T<p>Hello": "Hello",
+        "<head><title>T</title><style>p{}</head><body>Hello<style>q{}</style>": "Hello",
+        "<head><noscript><body>Hello": "Hello",
+        "<head><script src=a /></head>Hello<script>b</script>": "Hello",
+        "a<script>'<body>'</script>b<script>'</head>'</script>c": "a b c",
+        "<head-banner>One</head-banner><p>two": "One\ntwo",
+        "<style-x>One</style-x> <template-y>two</template-y> three": "One two three",
+        "One<style": "One",
+        "<head></head>" + "<style><body>x" * 50000: "x " * 49999 + "x",
+    }.items():
+        assert warc.plain_text(page) == text, page[:100]
+    assert warc.title_and_links("<title-bar>a</title-bar><title>b</title>")[0] == "b"
+
+
 def test_files_are_valid_and_odd_rows(spark):
     rows = [(1, "http://a/\r\nX: y", "<p>one</p>"), (None, None, None), (3, "", ""), (3, "", ""),
             (4, "u", "a\r\n\r\nWARC/1.1\r\nb &#13;&#10;&#13;&#10;WARC/1.1 " + "<p>é</p>" * 5000)]
