@@ -9,7 +9,9 @@ summed in a tree, and the driver only orthogonalises a matrix whose size is a
 parameter. Documents are read once more: blocks of ``BLOCK`` words are folded into
 the space, windows are sums of neighbouring blocks just long enough to hold a
 passage at any place, and windows whose cosine with a passage reaches ``COSINE``
-are candidates. A candidate is confirmed on words: the longest common subsequence
+are candidates. Passages of ``BLOCK`` words at most are small beside their window and
+do not depend on the space: of their rarest words, one more than a paraphrase may
+lack, each names its windows as candidates. A candidate is confirmed on words: the longest common subsequence
 must cover ``COPY`` of the passage, or ``PARAPHRASE`` of it when ``RUN`` words of it
 are there in one piece or the answer (the item's ``answer``, else its last sentence)
 is there too: in the window, or in one of its length where the whole item is to be
@@ -28,9 +30,11 @@ replaces one of the same name.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -101,6 +105,8 @@ class Passages:
     sets: list[frozenset]
     starts: list[int]  # first word of the passage in its item
     item_words: list[int]  # of the whole item
+    keys: np.ndarray  # rarest words of the short passages, in order
+    key_of: np.ndarray  # passage of each key
 
 
 @dataclass
@@ -240,6 +246,14 @@ def fit_index(docs: DataFrame, benchmark: DataFrame) -> LatentIndex:
 def _query_set(rows: list, slots: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> Passages:
     vectors = np.array([_tf_idf(r["words"], slots, idf, basis)[2] for r in rows])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    keys = set()
+    for p, r in enumerate(rows):
+        if len(r["words"]) <= BLOCK:
+            w = np.array(r["words"], np.int64)
+            lacking = len(w) - math.ceil(PARAPHRASE * len(w) - 1e-9)
+            rarest = np.argsort(-idf[slots[_terms(w)]], kind="stable")[: lacking + 1]
+            keys.update((k, p) for k in w[rarest].tolist())
+    keys = np.array(sorted(keys), np.int64).reshape(-1, 2)
     return Passages(
         [r["item_id"] for r in rows],
         [np.array(r["words"], np.int64) for r in rows],
@@ -248,6 +262,8 @@ def _query_set(rows: list, slots: np.ndarray, idf: np.ndarray, basis: np.ndarray
         [frozenset(r["words"]) for r in rows],
         [r["start"] for r in rows],
         [r["item_words"] for r in rows],
+        keys[:, 0].copy(),
+        keys[:, 1].copy(),
     )
 
 
@@ -298,6 +314,33 @@ def _candidates(blocks: np.ndarray, passages: Passages) -> Iterator[tuple[np.nda
                 yield a + i, size, pick[j], close[i, j] / norms[i]
 
 
+def _short_candidates(
+    words: np.ndarray, first: np.ndarray, blocks: np.ndarray, row_block: np.ndarray, passages: Passages
+) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+    """The same for short passages: the windows around their rarest words."""
+    if not len(passages.keys):
+        return
+    known = np.zeros(TERMS, bool)
+    known[_terms(passages.keys)] = True
+    hits = np.flatnonzero(known[_terms(words)])
+    left, right = (np.searchsorted(passages.keys, words[hits], side=side) for side in ("left", "right"))
+    hits, left, n = hits[right > left], left[right > left], (right - left)[right > left]
+    row = np.searchsorted(first, hits, side="right") - 1
+    block = row_block[row] + (hits - first[row]) // BLOCK
+    ends, size, step = np.cumsum(n), _blocks_for(BLOCK), 1 << 14
+    for a in range(0, int(ends[-1]) if len(ends) else 0, step):
+        pair = np.arange(a, min(a + step, int(ends[-1])))
+        h = np.searchsorted(ends, pair, side="right")
+        which = passages.key_of[left[h] + pair - (ends[h] - n[h])]
+        for back in range(size):  # the windows that hold the word
+            inside = block[h] - back >= row_block[row[h]]
+            at, p = np.unique(np.stack([block[h][inside] - back, which[inside]]), axis=1)
+            if len(at):
+                sums = sum(blocks[at + k] for k in range(size))
+                norms = np.maximum(np.linalg.norm(sums, axis=1), 1e-9)
+                yield at, size, p, np.einsum("ij,ij->i", sums, passages.vectors[p]) / norms
+
+
 def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
     out: list[dict[int | None, dict]] = [{} for _ in range(len(texts))]
     data, offsets = text_buffer(texts)
@@ -313,7 +356,8 @@ def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
         sketch = np.zeros((len(lists), SKETCH), bool)
         for p, w in enumerate(passages.words):
             sketch[p, _terms(w) % SKETCH] = True
-        for block, size, which, cosines in _candidates(blocks, passages):
+        short = _short_candidates(words, first, blocks, row_block, passages)
+        for block, size, which, cosines in chain(_candidates(blocks, passages), short):
             row = np.searchsorted(row_block, block, side="right") - 1
             begin = first[row] + (block - row_block[row]) * BLOCK
             end = np.minimum(begin + size * BLOCK, first[row + 1])

@@ -145,6 +145,24 @@ def test_verbatim_excerpts_at_every_offset(spark):
     assert not lost, f"{len(lost)} of {len(want)}"
 
 
+def test_short_items_of_a_large_benchmark(spark):
+    """5,000 items of 5 to 16 words, verbatim or with a fifth of the words before the last five replaced."""
+    rng = random.Random(12)
+    vocab = [f"z{k}" for k in rng.choices(range(20000), [1 / (k + 3) for k in range(20000)], k=200000)]
+    items = [(i, rng.choices(vocab, k=rng.randrange(5, 17))) for i in range(5000)]
+    docs, want = [], set()
+    for d in range(800):
+        i, w = items[rng.randrange(len(items))]
+        w = list(w)
+        for at in rng.sample(range(len(w) - 5), (len(w) - 5) // 5) if d % 2 else []:
+            w[at] = "edit"
+        want.add((d, i))
+        docs.append((d, " ".join([*rng.choices(vocab, k=rng.randrange(60)), *w, *rng.choices(vocab, k=60)])))
+    lost = want - found_in(spark, docs, [(i, " ".join(w)) for i, w in items])
+    kept = {(d, i) for d, i in lost if d % 2 == 0}
+    assert not lost, f"{len(lost)} of {len(want)}, of them verbatim {len(kept)}"
+
+
 def test_odd_rows(spark):
     item = " ".join(f"w{i}" for i in range(30))
     long = " ".join(f"x{i}" for i in range(400))
