@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from lakeshore.llm.bpe_stream import op12_bpe_stream
 from lakeshore.llm.decontamination import op3_decontamination
 from lakeshore.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from lakeshore.llm.license_scan import op5_license_scan
+from lakeshore.llm.merkle import OP13_SQL, op13_merkle_manifest
 from lakeshore.llm.mixing import OP4_SQL, op4_mix_sources
 from lakeshore.llm.near_dedup import op10_minhash_near_dedup
 from lakeshore.llm.quality import op1_quality_classifier
@@ -24,9 +26,12 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op12_bpe_stream": op12_bpe_stream,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
     "op2_exact_dedup": OP2_SQL,
     "op4_mix_sources": OP4_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
