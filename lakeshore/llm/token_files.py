@@ -14,7 +14,8 @@ File names are new for every task attempt and only those that a finished task
 returned are listed, so lost executors leave at most unlisted files behind.
 
 Defined cases: a null or empty text is one end id; rows with a null ``doc_id``
-come first; rows that share ``doc_id`` are ordered by text; an empty table gives
+come first; rows that share ``doc_id`` are ordered by a hash of their text, then by
+the text, and rows that repeat are written each; an empty table gives
 an empty list of files; extra columns are ignored; very long texts span as many
 sequences as they need.
 """
@@ -22,11 +23,9 @@ sequences as they need.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,101 +38,28 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakeshore.llm.common import fresh_path, shuffle_partitions, table, written
+from lakeshore.llm.pretokens import BatchEncoder, character_classes, visible_bytes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one core
 
 SEQUENCE = 2048  # ids in a sequence
 BATCH = 256  # sequences in a record batch
 END_ID = 0
-_MEMO = 600_000  # chunks whose ids a worker remembers
-_TOGETHER = 250  # texts encoded at a time
-_MARKS = frozenset(".,!?;:")
-_ODD_SPACE = re.compile(r"\s\s|\s\Z")
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
-_ENCODERS: dict[str, "ChunkEncoder"] = {}
-
-
-# byte-level tokenizers show a byte by its own character if that is printable, the others by those from 256 on
-_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
-_VISIBLE = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
-
-
-def _is_word(chunk: str) -> bool:
-    """A blank and Latin letters."""
-    return chunk[0] == " " and chunk[1:].isalpha() and max(chunk) < "\u0250"
-
-
-class ChunkEncoder:
-    """A byte-level BPE tokenizer that remembers the ids of chunks.
-
-    The tokenizer's pattern never joins a visible character with white space after
-    it, so a text can be cut before each blank or line end that follows a visible
-    character, and the ids of the pieces joined are those of the whole. For the same
-    reason new chunks are encoded many at a time, put together to one text; the
-    bytes of each token tell where a chunk's ids end.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
-        sizes = {i: len(t) for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])  # a character for each byte
-
-    def _chunks(self, text: str) -> list[str]:
-        if "\x00" in text or _ODD_SPACE.search(text):
-            return _CUT.split(text)
-        return text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
-
-    def _encode_joined(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
-        parts = [chunks[a : a + 200] for a in range(0, len(chunks), 200)]
-        joined = ["".join(p) for p in parts]
-        for part, e in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            ends = np.cumsum([len(c.encode()) for c in part])
-            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-            raw, a = ids.tobytes(), 0
-            for c, b in zip(part, cuts.tolist(), strict=True):
-                yield c, raw[4 * a : 4 * b]
-                a = b
-
-    def _learn(self, missing: set[str]) -> dict[str, bytes]:
-        # a letter and a mark after it never share a pre-token
-        marked = {c for c in missing if c[-1:] in _MARKS and c[-2:-1].isalpha()}
-        need = {c[:-1] if c in marked else c for c in missing} | {c[-1] for c in marked}
-        need = {c for c in need if c not in self.memo}
-        plain = [c for c in need if c[:1] in (" ", "\n") and c[1:2].strip() and c[-1].strip()]
-        found = dict(self._encode_joined([c for c in plain if not _is_word(c)]))
-        model = self.tokenizer.model
-        for c in plain:
-            if c not in found:  # one pre-token, so the model alone has to see it
-                found[c] = np.array([t.id for t in model.tokenize(c.encode().decode("latin-1").translate(_VISIBLE))], "<u4").tobytes()
-        for c in need.difference(found):
-            found[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
-        known = {**found, **{c: self.memo[c] for c in (*(m[:-1] for m in marked), *(m[-1] for m in marked)) if c in self.memo}}
-        for c in marked:
-            found[c] = known[c[:-1]] + known[c[-1]]
-        room = max(_MEMO - len(self.memo), 0)
-        self.memo.update(found if room >= len(found) else dict(islice(found.items(), room)))
-        return found
-
-    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text."""
-        pieces = [self._chunks(t) for t in texts]
-        ids = [list(map(self.memo.get, p)) for p in pieces]
-        missing = {c for p, f in zip(pieces, ids, strict=True) for c, x in zip(p, f, strict=True) if x is None}
-        rest = self._learn(missing) if missing else {}
-        for p, f in zip(pieces, ids, strict=True):
-            if None in f:
-                f = [rest[c] if x is None else x for c, x in zip(p, f, strict=True)]
-            yield np.frombuffer(b"".join(f), "<u4")
-
-    def encode(self, text: str) -> np.ndarray:
-        return next(self.encode_all([text]))
-
-
-def encoder(path: str) -> ChunkEncoder:
+_MEMO = 400_000  # pre-tokens whose ids a worker remembers, twice as many at most
+_ENCODERS: dict[str, BatchEncoder] = {}
+
+
+def encoder(path: str, classes: np.ndarray) -> BatchEncoder:
+    """The library's ids for whole batches; a worker keeps those of frequent pre-tokens."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
+        model = Tokenizer.from_file(path).model
+        shown = dict(enumerate(visible_bytes()))
+
+        def learn(pieces: list[bytes]) -> list[bytes]:
+            seen = (p.decode("latin-1").translate(shown) for p in pieces)
+            return [np.array([t.id for t in model.tokenize(p)], "<u4").tobytes() for p in seen]
+
+        _ENCODERS[path] = BatchEncoder(path, classes, learn, _MEMO)
     return _ENCODERS[path]
 
 
@@ -210,6 +136,9 @@ def write_token_files(
 ) -> DataFrame:
     """Write ``docs`` (doc_id, text); returns the files in order with ``first_token``."""
     spark = docs.sparkSession
+    library = Tokenizer.from_file(tokenizer)
+    classes = spark.sparkContext.broadcast(character_classes(library))  # a byte a code point
+    ids_type = id_type(library)
     ordered = (
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
         .repartitionByRange(shuffle_partitions(spark), F.col("doc_id"), F.xxhash64("text"))
@@ -225,18 +154,16 @@ def write_token_files(
                 fs, base = pafs.FileSystem.from_uri(folder)
                 fs.create_dir(base, recursive=True)
                 stem = f"part-{part:06d}-{uuid.uuid4().hex}"
-                writer = SequenceWriter(fs, f"{base}/{stem}.arrow", length, id_type(encoder(tokenizer).tokenizer))
+                writer = SequenceWriter(fs, f"{base}/{stem}.arrow", length, ids_type)
                 doc_schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
                 doc_out = fs.open_output_stream(f"{base}/{stem}.docs.arrow")
                 doc_file = ipc.new_file(doc_out, doc_schema)
-            counts = []
-            for a in range(0, batch.num_rows, _TOGETHER):
-                texts = batch.column("text").slice(a, _TOGETHER).to_pylist()
-                for ids in encoder(tokenizer).encode_all(texts):
-                    writer.add(np.append(ids, np.uint32(end_id)))
-                    counts.append(len(ids) + 1)
+            ids, first = encoder(tokenizer, classes.value).encode(batch.column("text"))
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                writer.add(np.append(ids[a:b], np.uint32(end_id)))
+            counts = pa.array(np.diff(first) + 1, pa.int64())
             n_docs += len(counts)
-            doc_file.write_batch(pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64())], schema=doc_schema))
+            doc_file.write_batch(pa.record_batch([batch.column("doc_id"), counts], schema=doc_schema))
         if writer is not None:
             writer.close()
             doc_file.close()

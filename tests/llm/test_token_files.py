@@ -4,23 +4,26 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from lakeshore.llm import token_files as tf
 from lakeshore.llm.common import fresh_path, table
+from lakeshore.llm.pretokens import character_classes
 from tests.conftest import SF_SMOKE
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+CLASSES = character_classes(Tokenizer.from_file(PATH))
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet=" \n\t\r\x00\x1c\x85\xa0a.,!?'sé<|>1", max_size=25), max_size=4))
-def test_chunks_give_the_ids_of_the_whole(texts):
+def test_batches_give_the_ids_of_the_whole(texts):
     want = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
-    fresh = tf.ChunkEncoder(PATH) if len(texts) > 2 else tf.encoder(PATH)
-    assert [x.tolist() for x in fresh.encode_all(texts)] == want
+    ids, first = tf.encoder(PATH, CLASSES).encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == want
 
 
 def _expected(rows):
