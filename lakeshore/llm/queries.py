@@ -13,6 +13,7 @@ from lakeshore.llm.quality import op1_quality_classifier
 from lakeshore.llm.substring_dedup import op9_substring_dedup
 from lakeshore.llm.token_counts import op8_token_counts
 from lakeshore.llm.token_files import op7_token_files
+from lakeshore.llm.vector_codes import OP11_SQL, op11_vector_codes
 from lakeshore.llm.warc import op6_warc_derivatives
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_vector_codes": op11_vector_codes,
     "op12_bpe_stream": op12_bpe_stream,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -33,5 +35,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_exact_dedup": OP2_SQL,
     "op4_mix_sources": OP4_SQL,
+    "op11_vector_codes": OP11_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
