@@ -9,16 +9,23 @@ reported with the side they are missing in:
 * in the copy, not in the source  -> ``'source'``
 * a key with a NULL part can never be matched -> ``'both'``
 
-It is computed as one tagged union of the two key sets grouped by key, not as a
-full outer join: one shuffle of narrow key columns, with the presence flags
-combined on the map side, so duplicated or hot keys collapse before the shuffle.
-The result equals the full-outer-join formulation followed by the distinct
-union and ``max(missing_in)`` per (table, key) of the reference.
+All tables are checked at once: one tagged union of (table, key parts, side)
+grouped by table and key, not a full outer join per table. There is one shuffle
+of narrow rows for any number of tables, with the counts of both sides combined
+on the map side, so duplicated or hot keys collapse before it. The result equals
+the full-outer-join formulation followed by the distinct union and
+``max(missing_in)`` per (table, key) of the reference.
 
 Count check
 -----------
-Counts of both sides per table in one job (a union of global aggregates), then
-``max`` per table folds the two half rows into one.
+The row counts of both sides are sums over the same groups. ``reconciliation``
+keeps one row per missing key and folds all matched keys of a table into one
+row, so both reports come from a single pass over the sources.
+
+Gate
+----
+``gate_verdict`` gives the outcome as a row (status, failing tables);
+``validation_gate`` derives the raising form from it.
 """
 
 from __future__ import annotations
@@ -48,99 +55,152 @@ def _resolve(df: DataFrame, names: Sequence[str]) -> list[Column]:
     return [F.col(by_lower[n.lower()]) for n in names]
 
 
-def _tagged_keys(pair: ReconcilePair) -> DataFrame:
-    width = len(pair.keys)
+KEY_PARTS = ("_k0", "_k1")  # no replicated table has a longer key
+
+
+def _tagged_keys(pairs: Sequence[ReconcilePair]) -> DataFrame:
+    """table_name, key parts as text, in_source, in_copy (0 or 1) of all rows of all pairs.
+
+    Parts become text only here, above the scans, so source queries still read the
+    plain key columns. Texts of numbers and dates are unique; a NULL part stays NULL.
+    """
+    width = max([len(KEY_PARTS), *(len(p.keys) for p in pairs)])
     names = [f"_k{i}" for i in range(width)]
 
-    def side(df: DataFrame, in_copy: int, in_source: int) -> DataFrame:
-        # keys keep their own type (cheaper to group than text; casts to text
-        # are not pushed into source queries), text only at the output
-        cols = _resolve(df, pair.keys)
+    def side(pair: ReconcilePair, df: DataFrame, in_copy: int) -> DataFrame:
+        parts = [c.cast("string") for c in _resolve(df, pair.keys)]
+        null_part = any_null(parts)
+        parts += [F.lit("")] * (width - len(parts))
         return df.select(
-            *[c.alias(n) for c, n in zip(cols, names)],
-            F.lit(in_copy).alias("_in_copy"),
-            F.lit(in_source).alias("_in_source"),
+            F.lit(pair.table_name).alias("table_name"),
+            key_text(parts[: len(pair.keys)]).alias("pk"),
+            null_part.alias("_null_part"),
+            *[c.alias(n) for c, n in zip(parts, names)],
+            F.lit(1 - in_copy).cast("bigint").alias("_in_source"),
+            F.lit(in_copy).cast("bigint").alias("_in_copy"),
         )
 
-    return side(pair.copy, 1, 0).unionByName(side(pair.source, 0, 1)), names
+    return reduce(DataFrame.unionByName, [side(p, df, i) for p in pairs for i, df in enumerate((p.source, p.copy))])
 
 
-def missing_keys(pair: ReconcilePair) -> DataFrame:
-    """(table_name, pk, missing_in) for one table."""
-    tagged, names = _tagged_keys(pair)
-    null_key = any_null(names)
-    matched = (
-        tagged.where(~null_key)
-        .groupBy(*names)
-        .agg(F.max("_in_copy").alias("_in_copy"), F.max("_in_source").alias("_in_source"))
-        .where((F.col("_in_copy") + F.col("_in_source")) < 2)
-        .select(
-            key_text(names).alias("pk"),
-            F.when(F.col("_in_copy") == 0, F.lit("target")).otherwise(F.lit("source")).alias("missing_in"),
-        )
+def reconciled_keys(pairs: Sequence[ReconcilePair]) -> DataFrame:
+    """(table_name, pk, source_count, bronze_count, missing_in) of every key of every table.
+
+    ``missing_in`` is NULL for a key that both sides hold. One shuffle in all.
+    """
+    tagged = _tagged_keys(pairs)
+    parts = [c for c in tagged.columns if c.startswith("_k")]
+    counted = tagged.groupBy("table_name", "pk", "_null_part", *parts).agg(
+        F.sum("_in_source").alias("source_count"), F.sum("_in_copy").alias("bronze_count")
     )
-    unmatched = (
-        tagged.where(null_key)
-        .select(key_text(names).alias("pk"), F.lit("both").alias("missing_in"))
-        .distinct()
+    missing = (
+        F.when(F.col("_null_part"), F.lit("both"))
+        .when(F.col("bronze_count") == 0, F.lit("target"))
+        .when(F.col("source_count") == 0, F.lit("source"))
     )
-    return matched.unionByName(unmatched).select(
-        F.lit(pair.table_name).alias("table_name"), "pk", "missing_in"
+    return counted.select("table_name", "pk", "source_count", "bronze_count", missing.alias("missing_in"))
+
+
+def _texts_may_repeat(pairs: Sequence[ReconcilePair]) -> bool:
+    """True when different keys can have one text: a part that is itself text."""
+    return any(
+        len(p.keys) > 1 and p.source.select(c).schema.fields[0].dataType.simpleString() == "string"
+        for p in pairs
+        for c in _resolve(p.source, p.keys)
     )
 
 
 def key_reconciliation(pairs: Sequence[ReconcilePair]) -> DataFrame:
     """``_val_pk_foj``: one row per (table_name, pk) missing on some side."""
-    parts = [missing_keys(p) for p in pairs]
-    union = reduce(DataFrame.unionByName, parts)
-    return union.groupBy("table_name", "pk").agg(F.max("missing_in").alias("missing_in"))
+    found = reconciled_keys(pairs).where(F.col("missing_in").isNotNull()).select("table_name", "pk", "missing_in")
+    if _texts_may_repeat(pairs):  # few rows are left here
+        found = found.groupBy("table_name", "pk").agg(F.max("missing_in").alias("missing_in"))
+    return found
 
 
-def count_reconciliation(pairs: Sequence[ReconcilePair]) -> DataFrame:
-    """``_val_totals``: (table_name, source_count, bronze_count, totals_do_match)."""
-    halves = []
-    for p in pairs:
-        halves.append(
-            p.source.agg(F.count(F.lit(1)).alias("source_count")).select(
-                F.lit(p.table_name).alias("table_name"),
-                F.col("source_count"),
-                F.lit(None).cast("bigint").alias("bronze_count"),
-            )
-        )
-        halves.append(
-            p.copy.agg(F.count(F.lit(1)).alias("bronze_count")).select(
-                F.lit(p.table_name).alias("table_name"),
-                F.lit(None).cast("bigint").alias("source_count"),
-                F.col("bronze_count"),
-            )
+def missing_keys(pair: ReconcilePair) -> DataFrame:
+    """(table_name, pk, missing_in) for one table."""
+    return key_reconciliation([pair])
+
+
+def reconciliation(pairs: Sequence[ReconcilePair]) -> DataFrame:
+    """What both reports need, from one pass: one row per missing key, and for each
+    table one with ``missing_in`` NULL that holds the counts of all its matched keys.
+
+    The second aggregation collapses matched keys within each task before its shuffle.
+    """
+    keys = reconciled_keys(pairs)
+    pk = F.when(F.col("missing_in").isNotNull(), F.col("pk"))
+    return (
+        keys.groupBy("table_name", pk.alias("pk"), F.col("missing_in").isNull().alias("_matched"))
+        .agg(
+            F.max("missing_in").alias("missing_in"),
+            F.sum("source_count").alias("source_count"),
+            F.sum("bronze_count").alias("bronze_count"),
         )
-    union = reduce(DataFrame.unionByName, halves)
-    return union.groupBy("table_name").agg(
-        F.max("source_count").alias("source_count"),
-        F.max("bronze_count").alias("bronze_count"),
-        (F.max("source_count") == F.max("bronze_count")).alias("totals_do_match"),
+        .drop("_matched")
+    )
+
+
+def key_report(found: DataFrame) -> DataFrame:
+    """``_val_pk_foj`` from a ``reconciliation``."""
+    return found.where(F.col("missing_in").isNotNull()).select("table_name", "pk", "missing_in")
+
+
+def totals_report(found: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """``_val_totals`` from a ``reconciliation``: (table_name, source_count, bronze_count,
+    totals_do_match). A table without a row on either side counts zero."""
+    spark = found.sparkSession
+    seeds = spark.createDataFrame([(t, 0, 0) for t in tables], "table_name string, source_count bigint, bronze_count bigint")
+    both = found.select("table_name", "source_count", "bronze_count").unionByName(seeds)
+    return both.groupBy("table_name").agg(
+        F.sum("source_count").alias("source_count"),
+        F.sum("bronze_count").alias("bronze_count"),
+        (F.sum("source_count") == F.sum("bronze_count")).alias("totals_do_match"),
     )
 
 
+def count_reconciliation(pairs: Sequence[ReconcilePair]) -> DataFrame:
+    """``_val_totals``: (table_name, source_count, bronze_count, totals_do_match)."""
+    return totals_report(reconciliation(pairs), [p.table_name for p in pairs])
+
+
 GATE_MESSAGE = "row counts of source and bronze copy differ"
 
 
-def validation_gate(totals: DataFrame, expected_tables: Sequence[str] | None = None) -> DataFrame:
-    """One row, ``status = 'SUCCESS'``, or a job failure via ``raise_error``.
+def all_true(flags: Column) -> Column:
+    """An array of flags folded with AND. NULL elements are left out, an empty array
+    is TRUE, a NULL array is NULL."""
+    return F.reduce(flags, F.lit(True), lambda verdict, flag: verdict & F.coalesce(flag, F.lit(True)))
+
+
+def gate_verdict(totals: DataFrame, expected_tables: Sequence[str] | None = None) -> DataFrame:
+    """One row: ``status`` ('SUCCESS' or 'FAILED') and ``failing``, the sorted names of the
+    tables whose counts differ or, of ``expected_tables``, are not there.
 
-    The verdict is the AND of ``totals_do_match`` over all rows, ignoring NULLs
-    and TRUE on no rows (the fold of the reference), computed as an aggregate
-    instead of collecting the flags into one list. With ``expected_tables``,
-    every named table must also be present.
+    The flags of all tables (a row each, as many as are configured) are folded with AND;
+    without rows the verdict is 'SUCCESS'.
     """
-    verdict = F.coalesce(F.bool_and("totals_do_match"), F.lit(True))
-    if expected_tables:
-        present = F.count_distinct(
-            F.when(F.col("table_name").isin(list(expected_tables)), F.col("table_name"))
-        )
-        verdict = verdict & (present == F.lit(len(set(expected_tables))))
-    return totals.agg(
-        F.when(verdict, F.lit("SUCCESS")).otherwise(F.raise_error(F.lit(GATE_MESSAGE))).alias("status")
+    differ = F.collect_set(F.when(~F.col("totals_do_match"), F.col("table_name")))
+    found = totals.agg(
+        F.collect_list("totals_do_match").alias("flags"),
+        differ.alias("differ"),
+        F.collect_set("table_name").alias("present"),
+    )
+    expected = F.array(*[F.lit(t) for t in expected_tables or ()]).cast("array<string>")
+    absent = F.array_except(expected, "present")
+    passed = all_true(F.col("flags")) & (F.size(absent) == 0)
+    return found.select(
+        F.when(passed, F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("status"),
+        F.array_sort(F.array_union("differ", absent)).alias("failing"),
+    )
+
+
+def validation_gate(totals: DataFrame, expected_tables: Sequence[str] | None = None) -> DataFrame:
+    """One row, ``status = 'SUCCESS'``, or a job failure that names the failing tables."""
+    failed = F.raise_error(F.concat(F.lit(f"{GATE_MESSAGE}: "), F.array_join("failing", ", ")))
+    return gate_verdict(totals, expected_tables).select(
+        F.when(F.col("status") == "SUCCESS", F.col("status")).otherwise(failed).alias("status")
     )
 
 

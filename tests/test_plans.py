@@ -5,11 +5,17 @@ from __future__ import annotations
 import contextlib
 import io
 
+import pytest
+from pyspark.sql import functions as F
+
 from lakeshore.context import PipelineContext
-from lakeshore.plans.conform import conform_orders
-from lakeshore.plans.serve import flatten_orders
+from lakeshore.operators.reconcile import ReconcilePair, key_reconciliation
+from lakeshore.plans.conform import conform_addresses, conform_customers, conform_orders
+from lakeshore.plans.jobs import _stale_gold_buckets
+from lakeshore.plans.serve import flatten_orders, order_references
 from lakeshore.queries import _products
 from lakeshore.sources import standins as S
+from lakeshore.specs import ERP_TABLES
 from tests.conftest import SF_SMOKE
 
 CTX = PipelineContext()
@@ -38,22 +44,70 @@ def test_nesting_shuffles_raw_columns_and_hashes_after(spark):
     assert "sha2" not in partial  # no hashing before the shuffle
 
 
-def test_gold_reads_only_used_fields_of_the_silver_fact(spark, tmp_path):
+def _gold_plan(spark, tmp_path, **conf):
     hdr, det = S.salesorderheader(spark, SF_SMOKE), S.salesorderdetail(spark, SF_SMOKE)
     path = str(tmp_path / "orders")
-    conform_orders(hdr, det, CTX).write.parquet(path)
-    orders = spark.read.parquet(path)
-    empty = spark.createDataFrame([], "id string, name string, company string")
-    addresses = spark.createDataFrame(
-        [], "id string, full_address string, city string, state string, country string, postcode string"
-    )
-    plan = plan_of(flatten_orders(orders, _products(spark, SF_SMOKE), empty, addresses, CTX))
+    conform_orders(hdr, det, CTX).write.mode("overwrite").parquet(path)
+    customers = conform_customers(S.customer(spark, SF_SMOKE), CTX)
+    addresses = conform_addresses(S.address(spark, SF_SMOKE), CTX)
+    settings = {"spark.sql.maxMetadataStringLength": "2000", **conf}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        return plan_of(flatten_orders(spark.read.parquet(path), _products(spark, SF_SMOKE), customers, addresses, CTX))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_gold_reads_only_used_fields_of_the_silver_fact(spark, tmp_path):
+    plan = _gold_plan(spark, tmp_path)
     scan = next(line for line in plan.splitlines() if "ReadSchema" in line and "line_items" in line)
     assert "product_fk" in scan and "line_item_id" not in scan
     assert "_text_attrs" not in scan and "_num_attrs" not in scan
     assert "EqualTo(_source_id,dev_erp)" in plan  # source filter pushed to the scan
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_gold_reads_the_fact_once_and_explodes_it_last(spark, tmp_path, broadcast):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": broadcast, "spark.sql.adaptive.autoBroadcastJoinThreshold": broadcast}
+    plan = _gold_plan(spark, tmp_path, **conf).splitlines()
+    assert sum("FileScan" in line and "line_items" in line for line in plan) == 1
+    joins = [i for i, line in enumerate(plan) if "Join" in line and "LeftOuter" in line]
+    explode = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
+    fact = next(i for i, line in enumerate(plan) if "FileScan" in line and "line_items" in line)
+    # printed top-down: the product join above the explode, three joins between it and the scan
+    assert sum(i < explode for i in joins) == 1 and sum(explode < i < fact for i in joins) == 3
+    assert any("BroadcastHashJoin" in plan[i] for i in joins) == (broadcast != "-1")
+
+
+def test_stale_buckets_read_no_foreign_key_of_the_fact(spark, tmp_path):
+    hdr, det = S.salesorderheader(spark, SF_SMOKE), S.salesorderdetail(spark, SF_SMOKE)
+    orders = conform_orders(hdr, det, CTX).withColumn("_bucket", F.lit(1))
+    orders.write.parquet(str(tmp_path / "o"))
+    orders = spark.read.parquet(str(tmp_path / "o"))
+    order_references(orders).write.parquet(str(tmp_path / "r"))
+    dims = {n: f.select("id", "_source_modstamp") for n, f in (
+        ("products", _products(spark, SF_SMOKE)),
+        ("customers", conform_customers(S.customer(spark, SF_SMOKE), CTX)),
+        ("addresses", conform_addresses(S.address(spark, SF_SMOKE), CTX)),
+    )}
+    old, new = "1999-01-01 00:00:00", "2001-01-01 00:00:00"
+    before = {"orders": new, **{n: old for n in dims}}
+    after = {"orders": new, **{n: new for n in dims}}
+    stale = _stale_gold_buckets(orders, spark.read.parquet(str(tmp_path / "r")), dims, before, after)
+    plan = plan_of(stale)
+    assert "dimension" in plan and "customer_fk" not in plan and "line_items" not in plan
+    assert [r[0] for r in stale.collect()] == [1]
+
+
+def test_ten_tables_are_reconciled_in_one_shuffle(spark):
+    pairs = [ReconcilePair(s.name, t, t, tuple(s.merge_on)) for s in ERP_TABLES for t in [S.BUILDERS[s.src_name](spark, SF_SMOKE)]]
+    direct = [p for p in pairs if p.table_name not in ("address", "product_model_description")]  # these join or group themselves
+    assert plan_of(key_reconciliation(direct)).count("Exchange hashpartitioning") == 1
+
+
 def test_stand_ins_never_read_document_text(spark):
     plan = plan_of(S.productdescription(spark, SF_SMOKE).unionByName(
         S.productdescription(spark, SF_SMOKE)))
