@@ -4,7 +4,6 @@ from lakeshore.sources.catalog import (
     attach_jdbc_catalog,
     keep_configured,
     list_tables,
-    read_jdbc_partitioned,
     read_table,
 )
 from lakeshore.sources.standins import STANDIN_SQL, erp_tables, standin_ctes
@@ -15,7 +14,6 @@ __all__ = [
     "erp_tables",
     "keep_configured",
     "list_tables",
-    "read_jdbc_partitioned",
     "read_table",
     "standin_ctes",
 ]

@@ -7,10 +7,15 @@ import pytest
 from lakeshore.operators.reconcile import GATE_MESSAGE
 from lakeshore.operators.reconcile import (
     ReconcilePair,
+    all_true,
     count_reconciliation,
+    gate_verdict,
     key_reconciliation,
+    key_report,
     missing_keys,
+    reconciliation,
     run_gate,
+    totals_report,
     validation_gate,
 )
 from tests.conftest import rows
@@ -64,3 +69,33 @@ def test_gate_fold_passes_on_empty_but_checks_presence(spark):
     assert validation_gate(empty).first()["status"] == "SUCCESS"
     with pytest.raises(Exception, match=GATE_MESSAGE):
         run_gate(empty, ["customer"])
+
+
+def test_fold_of_flags(spark):
+    cases = [(1, []), (2, [True, True]), (3, [True, False]), (4, [None, True]), (5, [None]), (6, None), (7, [None, False])]
+    df = spark.createDataFrame(cases, "k int, flags array<boolean>")
+    got = {r.k: r.v for r in df.select("k", all_true("flags").alias("v")).collect()}
+    assert got == {1: True, 2: True, 3: False, 4: True, 5: True, 6: None, 7: False}
+
+
+def test_verdict_as_a_value_and_as_an_error(spark):
+    totals = spark.createDataFrame(
+        [("b", 1, 2, False), ("a", 1, 1, True), ("c", 0, 9, False), ("d", None, 1, None)],
+        "table_name string, source_count bigint, bronze_count bigint, totals_do_match boolean",
+    )
+    row = gate_verdict(totals, ["a", "b", "zz"]).first()
+    assert (row.status, row.failing) == ("FAILED", ["b", "c", "zz"])
+    assert gate_verdict(totals.where("table_name = 'a'"), ["a"]).first().status == "SUCCESS"
+    with pytest.raises(Exception, match=f"{GATE_MESSAGE}: b, c, zz"):
+        run_gate(totals, ["a", "b", "zz"])
+
+
+def test_one_pass_gives_both_reports(spark):
+    copy = spark.createDataFrame([(1, "x"), (2, "y|z"), (2, "y|z"), (4, None)], "a int, b string")
+    source = spark.createDataFrame([(1, "x"), (3, "w"), (4, ""), (5, "q")], "a int, b string")
+    empty = spark.createDataFrame([], "id date")
+    pairs = [ReconcilePair("t", copy, source, ("a", "b")), ReconcilePair("none", empty, empty, ("id",))]
+    found = reconciliation(pairs)
+    assert rows(totals_report(found, ["t", "none"])) == [("none", 0, 0, True), ("t", 4, 4, True)]
+    want = [("t", "2|y|z", "source"), ("t", "3|w", "target"), ("t", "4|", "target"), ("t", "5|q", "target")]
+    assert rows(key_report(found)) == rows(key_reconciliation(pairs)) == want
