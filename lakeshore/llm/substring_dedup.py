@@ -18,7 +18,8 @@ shift. Then:
 
 A task sends one row for each anchor hash and for each window, the first it has,
 and settles by itself what repeats within it, so a line that half of all documents
-share reaches a task at most once from each other task.
+share reaches a task at most once from each other task. It does so whenever it has
+gathered ``FLUSH`` of them, which bounds what it holds.
 
 Defined cases: a null, empty or short text loses nothing; a null ``doc_id`` counts
 as larger than any other; rows that share a ``doc_id`` are ordered by a hash of
@@ -44,6 +45,8 @@ WINDOW = 20
 ANCHOR = 8
 PERIOD, COVER = 13, (0, 1, 3, 9)
 BITS = 1 << 23  # of the map of rows that may change
+FLUSH = 400_000  # anchors or windows that a task gathers before it sends them
+_SEND = 50_000  # rows of a batch that is sent
 _PLACE_BITS = 22
 _PLACES = 1 << _PLACE_BITS
 _LAST = (1 << 63) - 1  # order of a null doc_id
@@ -61,10 +64,14 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[pa.RecordBatch]:
     """One row for each anchor hash of the task (repeated: whether it occurs twice in it),
-    and the places of those that do."""
-    hashes, rows, places = [], [], []
+    and the places of those that do.
+
+    Every ``flush`` anchors what was gathered is sent, as if another task began.
+    """
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"))
         starts, ends, first = word_spans(data, offsets)
@@ -72,25 +79,29 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = _positions(first, ANCHOR)[: len(runs)]
         pick = np.flatnonzero((at >= 0) & np.isin(at % PERIOD, COVER))
         keys = np.asarray(batch.column("row_key"))
-        hashes.append(runs[pick])
-        rows.append(keys[np.searchsorted(first, pick, side="right") - 1])
-        places.append(at[pick].astype(np.int32))
-    if not hashes:
-        return
-    h, row, place = np.concatenate(hashes), np.concatenate(rows), np.concatenate(places)
+        held.append((runs[pick], keys[np.searchsorted(first, pick, side="right") - 1], at[pick].astype(np.int32)))
+        size += len(pick)
+        if size >= flush:
+            yield from _sent_anchors(held)
+            held, size = [], 0
+    if size:
+        yield from _sent_anchors(held)
+
+
+def _sent_anchors(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    h, row, place = (np.concatenate(c) for c in zip(*held, strict=True))
     order = np.argsort(h, kind="stable")
     h, row, place = h[order], row[order], place[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
     heads = np.flatnonzero(new)
     count = np.diff(np.append(heads, len(h)))
-    twice = np.repeat(count > 1, count)
-    for a in range(0, len(heads), 100_000):
-        k = heads[a : a + 100_000]
-        yield _anchor_rows(h[k], row[k], place[k], count[a : a + 100_000] > 1, False)
-    known = np.flatnonzero(twice)
-    for a in range(0, len(known), 100_000):
-        k = known[a : a + 100_000]
+    known = np.flatnonzero(np.repeat(count > 1, count))
+    for a in range(0, len(heads), _SEND):
+        k = heads[a : a + _SEND]
+        yield _anchor_rows(h[k], row[k], place[k], count[a : a + _SEND] > 1, False)
+    for a in range(0, len(known), _SEND):
+        k = known[a : a + _SEND]
         yield _anchor_rows(row[k] * np.int64(31) + place[k], row[k], place[k], np.ones(len(k), bool), True)
 
 
@@ -158,20 +169,34 @@ def _sorted_out(bits: np.ndarray):
     return run
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a list column without nulls inside; a null list is empty."""
+    offsets = np.asarray(column.offsets, np.int64)
+    if column.null_count:
+        sizes = np.where(np.asarray(column.is_null()), 0, np.diff(offsets))
+        return np.asarray(column.flatten()), np.append(0, np.cumsum(sizes))
+    return np.asarray(column.flatten()), offsets - offsets[0]
+
+
+def _windows(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[pa.RecordBatch]:
     """Windows that hold a marked anchor: the first of equal ones in the task, and the
-    places of the later ones, which are repeats whatever other tasks hold."""
-    columns: list[list[np.ndarray]] = [[], [], [], [], []]
+    places of the later ones, which are repeats whatever other tasks hold.
+
+    Every ``flush`` windows what was gathered is sent, as if another task began.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"))
         starts, ends, first = word_spans(data, offsets)
         words = [hash_words(data, starts, ends, base=k) for k in (0, 1)]
         docs, keys = np.asarray(batch.column("doc")), np.asarray(batch.column("row_key"))
-        for i, marks in enumerate(batch.column("places").to_pylist()):
+        marks, cuts = _lists(batch.column("places"))
+        for i in range(batch.num_rows):
             x, y = int(first[i]), int(first[i + 1])
             if y - x < WINDOW:
                 continue
-            p = np.array(marks, np.int64)
+            p = marks[cuts[i] : cuts[i + 1]].astype(np.int64)
             if y - x > _PLACES:
                 p = (p[:, None] + np.arange(0, y - x, _PLACES)).ravel()
             p = p[p < y - x]
@@ -179,14 +204,18 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(edge, np.maximum(p - PERIOD + 1, 0), 1)
             np.add.at(edge, p + 1, -1)
             at = np.flatnonzero(np.cumsum(edge)[: y - x - WINDOW + 1] > 0)
-            for k in (0, 1):
-                columns[k].append(window_hashes(words[k][x:y], WINDOW)[at].view(np.int64))
-            columns[2].append(np.full(len(at), docs[i]))
-            columns[3].append(np.full(len(at), keys[i]))
-            columns[4].append(at)
-    if not columns[0]:
-        return
-    h1, h2, doc, key, at = (np.concatenate(c) for c in columns)
+            hashes = [window_hashes(words[k][x:y], WINDOW)[at].view(np.int64) for k in (0, 1)]
+            held.append((*hashes, np.full(len(at), docs[i]), np.full(len(at), keys[i]), at))
+            size += len(at)
+            if size >= flush:
+                yield from _sent_windows(held)
+                held, size = [], 0
+    if size:
+        yield from _sent_windows(held)
+
+
+def _sent_windows(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    h1, h2, doc, key, at = (np.concatenate(c) for c in zip(*held, strict=True))
     h2 = h2 >> 32 << 32
     order = np.lexsort((at, key, doc, h2, h1))
     h1, h2, doc, key, at = (c[order] for c in (h1, h2, doc, key, at))
@@ -198,8 +227,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # 96 bits of the hashes are kept, half of the second beside the start
     h1, high = np.where(later, key * 31 + at, h1), np.where(later, 0, h2 >> 32)
     info = (high << 32) | (at * 2 + later)
-    for a in range(0, len(h1), 100_000):
-        cut = slice(a, a + 100_000)
+    for a in range(0, len(h1), _SEND):
+        cut = slice(a, a + _SEND)
         yield pa.RecordBatch.from_arrays(
             [pa.array(c[cut]) for c in (h1, doc, key, info)], ["h1", "doc", "row_key", "info"]
         )
@@ -225,38 +254,42 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words of their repeats."""
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("doc", "row_key", "text", "is_copy", "repeats")), strict=True)
-        counts, removed, kept_texts = [], [], []
-        for doc, key, text, is_copy, repeats in rows:
-            words = text.encode().split()
-            n = len(words)
-            edge = np.zeros(n + 1, np.int64)
-            if is_copy and n >= WINDOW:
-                edge[0] = 1
-            for r in repeats or ():
-                if r["doc"] == doc and r["row_key"] == key:
-                    edge[r["start"]] += 1
-                    edge[r["start"] + WINDOW] -= 1
-            gone = np.cumsum(edge)[:n] > 0
-            counts.append(n)
-            removed.append(int(gone.sum()))
-            kept_texts.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode())
+        data, offsets = text_buffer(batch.column("text"))
+        starts, ends, first = word_spans(data, offsets)
+        repeats, cuts = _lists(batch.column("starts"))
+        edge = np.zeros(len(starts) + 1, np.int64)
+        size = np.diff(first)
+        at = np.repeat(first[:-1], np.diff(cuts)) + repeats
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + WINDOW, -1)
+        copies = np.flatnonzero(np.asarray(batch.column("is_copy")) & (size >= WINDOW))
+        np.add.at(edge, first[copies], 1)
+        np.add.at(edge, first[copies + 1], -1)
+        gone = np.cumsum(edge)[: len(starts)] > 0
+        removed = np.concatenate([[0], np.cumsum(gone)])[first]
+        raw, kept_texts = memoryview(data), []
+        for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            stay = np.flatnonzero(~gone[x:y]) + x
+            words = [raw[a:b] for a, b in zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)]
+            kept_texts.append(b" ".join(words))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
-                pa.array(counts, pa.int64()),
-                pa.array(removed, pa.int64()),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in kept_texts], pa.string()),
-                pa.array(kept_texts, pa.string()),
+                pa.array(size, pa.int64()),
+                pa.array(np.diff(removed), pa.int64()),
+                pa.array([hashlib.sha256(t).hexdigest() for t in kept_texts], pa.string()),
+                pa.array([t.decode() for t in kept_texts], pa.string()),
             ],
             ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
         )
 
 
-def _marked_rows(keyed: DataFrame) -> DataFrame:
+def _marked_rows(keyed: DataFrame, flush: int) -> DataFrame:
     """row, places, copies (row keys of later copies) of the rows that may lose words."""
     n = shuffle_partitions(keyed.sparkSession)
-    anchors = keyed.select("text", "row_key").mapInArrow(_anchors, "anchor bigint, info bigint")
+    anchors = keyed.select("text", "row_key").mapInArrow(
+        lambda batches: _anchors(batches, flush), "anchor bigint, info bigint"
+    )
     places = (
         anchors.repartition(n, "anchor")
         .sortWithinPartitions("anchor")
@@ -283,7 +316,7 @@ def _row(row_key: Column) -> Column:
     return F.shiftright(F.shiftleft(row_key, _PLACE_BITS + 2), _PLACE_BITS + 2)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text for each row of ``docs`` (doc_id, text).
 
     ``kept_text`` is null where nothing can be removed: the words of the text itself stay.
@@ -295,7 +328,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.xxhash64("doc_id", "text").alias("row_key"),
     )
-    marks = written(_marked_rows(keyed), "substring-marks")
+    marks = written(_marked_rows(keyed, flush), "substring-marks")
     # a bit for each marked row, in a map of fixed size: texts of rows without it are not shuffled
     slot = F.col("row").bitwiseAND(F.lit(BITS - 1))
     words = marks.groupBy(F.shiftright(slot, 6).alias("word")).agg(
@@ -323,16 +356,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeats = (
         joined.where(F.col("places").isNotNull() & ~is_copy)
         .select("doc", "row_key", "text", "places")
-        .mapInArrow(_windows, "h1 bigint, doc bigint, row_key bigint, info bigint")
+        .mapInArrow(lambda batches: _windows(batches, flush), "h1 bigint, doc bigint, row_key bigint, info bigint")
         .repartition(shuffle_partitions(spark), "h1")
         .sortWithinPartitions("h1", F.shiftright("info", 32), "doc", "row_key", "info")
         .mapInArrow(_later, "row_key bigint, doc bigint, start bigint")
-        .groupBy(_row(F.col("row_key")).alias("row"))
-        .agg(F.collect_list(F.struct("row_key", "doc", "start")).alias("repeats"))
-    )
-    cut = joined.join(repeats, "row", "left").select(
-        "doc_id", "doc", "row_key", "text", is_copy.alias("is_copy"), "repeats"
+        .groupBy("row_key", "doc")
+        .agg(F.collect_set("start").alias("starts"))  # no more than the text has words
     )
+    cut = joined.join(repeats, ["row_key", "doc"], "left").select("doc_id", "text", is_copy.alias("is_copy"), "starts")
     cut = cut.mapInArrow(
         _cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
     )

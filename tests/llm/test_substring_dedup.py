@@ -40,8 +40,8 @@ def test_whole_documents_table(spark):
     assert ordered(got) == brute(rows)
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_random_overlaps_and_odd_rows(spark, seed):
+@pytest.mark.parametrize(("seed", "flush"), [(0, sd.FLUSH), (1, 7)])
+def test_random_overlaps_and_odd_rows(spark, seed, flush):
     rng = random.Random(seed)
     pool = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(60)) for _ in range(6)]
     rows = [(0, None), (1, ""), (2, " \t\n"), (3, "x " * 300), (None, pool[0])]
@@ -54,13 +54,14 @@ def test_random_overlaps_and_odd_rows(spark, seed):
         rows.append((i, rng.choice(["  ", "\n", " "]).join(parts)))
     rng.shuffle(rows)
     docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, starts string")
-    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in sd.remove_repeats(docs.repartition(5)).collect()]
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in sd.remove_repeats(docs.repartition(5), flush).collect()]
     assert ordered(got) == brute(rows)
 
 
 def test_repeated_rows_and_empty_table(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")
-    got = sorted((r.doc_id, r.n_removed) for r in sd.remove_repeats(docs).collect())
-    assert got == [(1, 0), (1, 0), (2, 30)]
+    for flush in (sd.FLUSH, 3):
+        got = sorted((r.doc_id, r.n_removed) for r in sd.remove_repeats(docs, flush).collect())
+        assert got == [(1, 0), (1, 0), (2, 30)]
     assert sd.remove_repeats(docs.limit(0)).count() == 0
