@@ -18,14 +18,19 @@ is there too: in the window, or in one of its length where the whole item is to
 expected around it. Passages start every ``STRIDE`` words, so ``RUN`` words from any
 place of an item lie whole in one of its passages.
 
+The words of short passages, and a run of ``RUN`` words as a proof, supplement the
+latent search; a match with a cosine below ``COSINE`` was found by the supplement alone.
+
 The benchmark is the stated query set. Its passages go through in sets of
-``QUERIES`` at a time, which bounds what a task holds however long it is.
+``QUERIES``, and ``SETS`` of these are broadcast for one pass over the documents; a
+longer benchmark takes more passes, whose results meet by a digest of the text. So
+neither the driver nor a task ever holds more than ``QUERIES * SETS`` passages.
 
 Defined cases: null and empty texts of documents have no leaks; null or blank
-items are no passages; a null ``item_id`` is reported as null; repeated items are
-reported once per distinct (item_id, text); an empty table on either side gives no
-leaks; extra columns of documents are kept by ``with_leaks`` and its own column
-replaces one of the same name.
+items are no passages; ``item_id`` keeps its type, and a null one is reported as
+null; items are told apart by id and text, so each distinct (item_id, text) is
+reported once; an empty table on either side gives no leaks; extra columns of
+documents are kept by ``with_leaks`` and its own column replaces one of the same name.
 """
 
 from __future__ import annotations
@@ -34,14 +39,16 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import cached_property, reduce
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakeshore.llm.common import table, written
 from lakeshore.llm.words import hash_words, text_buffer, word_spans
@@ -57,12 +64,12 @@ RUN = 39  # words in one piece that are a copy by themselves: PARAPHRASE of a fu
 QUERIES = 4096
 SKETCH = 1024  # places of the hashed word set of a passage
 
-_LEAK = "array<struct<item_id: bigint, lcs: double, answer: double, cosine: double, first_word: bigint>>"
-_LEAK_ARROW = pa.list_(
-    pa.struct(
-        [("item_id", pa.int64()), ("lcs", pa.float64()), ("answer", pa.float64()), ("cosine", pa.float64()), ("first_word", pa.int64())]
-    )
-)
+SETS = 8  # sets of queries that are broadcast at a time
+
+
+def _leak_type(item_id: T.DataType) -> T.ArrayType:
+    fields = [("item", T.LongType()), ("item_id", item_id), ("lcs", T.DoubleType()), ("answer", T.DoubleType()), ("cosine", T.DoubleType())]
+    return T.ArrayType(T.StructType([T.StructField(n, t) for n, t in [*fields, ("first_word", T.LongType())]]))
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -98,16 +105,28 @@ def lcs(a: list[int], b: list[int]) -> int:
 class Passages:
     """A set of queries: fixed-size pieces of benchmark items."""
 
-    item_ids: list[int | None]
+    items: list[int]  # number of the passage's item, one for each distinct id and text
+    item_ids: list
     words: list[np.ndarray]
     answers: list[np.ndarray]
     vectors: np.ndarray  # latent, of length 1
-    sets: list[frozenset]
     starts: list[int]  # first word of the passage in its item
     item_words: list[int]  # of the whole item
     keys: np.ndarray  # rarest words of the short passages, in order
     key_of: np.ndarray  # passage of each key
 
+    @cached_property
+    def sketch(self) -> np.ndarray:
+        """The places of each passage's words in a small table."""
+        out = np.zeros((len(self.words), SKETCH), bool)
+        for p, w in enumerate(self.words):
+            out[p, _terms(w) % SKETCH] = True
+        return out
+
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        return np.array([len(w) for w in self.words])
+
 
 @dataclass
 class LatentIndex:
@@ -124,26 +143,42 @@ def passage_starts(n_words: int) -> list[int]:
 
 
 def benchmark_passages(benchmark: DataFrame) -> DataFrame:
-    """item_id, words (hashes), answer (hashes), start in the item and the item's length of every passage."""
+    """item (a hash of id and text), item_id, words (hashes), answer (hashes), start in the
+    item and the item's length of every passage."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = (
-        benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text", answer.alias("answer"))
+        benchmark.select("item_id", "text", answer.alias("answer"))
         .where(F.col("text").isNotNull())
         .distinct()
+        .withColumn("item", F.xxhash64("item_id", "text"))
     )
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for item, text, given in zip(batch.item_id, batch.text, batch.answer, strict=True):
+            of, words, answers, starts, lengths = [], [], [], [], []
+            for i, (text, given) in enumerate(zip(batch["text"].to_pylist(), batch["answer"].to_pylist(), strict=True)):
                 h = _hashes(text)
-                a = answer_of(text, given if isinstance(given, str) else None).view(np.int64).tolist() if len(h) else []
+                a = answer_of(text, given).view(np.int64).tolist() if len(h) else []
                 for s in passage_starts(len(h)):
-                    piece = h[s : s + PASSAGE].view(np.int64).tolist()
-                    out.append((None if pd.isna(item) else int(item), piece, a, s, len(h)))
-            yield pd.DataFrame(out, columns=["item_id", "words", "answer", "start", "item_words"])
-
-    return items.mapInPandas(cut, "item_id bigint, words array<bigint>, answer array<bigint>, start int, item_words int")
+                    of.append(i)
+                    words.append(h[s : s + PASSAGE].view(np.int64).tolist())
+                    answers.append(a)
+                    starts.append(s)
+                    lengths.append(len(h))
+            at = pa.array(of, pa.int64())
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["item"].take(at), batch["item_id"].take(at), pa.array(words, longs), pa.array(answers, longs),
+                    pa.array(starts, pa.int32()), pa.array(lengths, pa.int32()),
+                ],
+                ["item", "item_id", "words", "answer", "start", "item_words"],
+            )
+
+    longs = T.ArrayType(T.LongType())
+    fields = [("item", T.LongType()), ("item_id", items.schema["item_id"].dataType), ("words", longs), ("answer", longs)]
+    schema = T.StructType([T.StructField(n, t) for n, t in [*fields, ("start", T.IntegerType()), ("item_words", T.IntegerType())]])
+    return items.select("item", "item_id", "text", "answer").mapInArrow(cut, schema)
 
 
 def _terms(words: np.ndarray) -> np.ndarray:
@@ -219,28 +254,24 @@ def _randomised_svd(passages: DataFrame, slots: np.ndarray, idf: np.ndarray) ->
     return basis @ vectors[:, best]
 
 
-def fit_index(docs: DataFrame, benchmark: DataFrame) -> LatentIndex:
-    """The latent space of the benchmark's passages, and the passages in it."""
+def fit_index(docs: DataFrame, benchmark: DataFrame) -> Iterator[LatentIndex]:
+    """The latent space of the benchmark's passages with ``SETS`` sets of them at a time."""
     passages = written(benchmark_passages(benchmark), "passages")
     term = F.explode("words").alias("word")
     terms = passages.select(term).select(F.col("word").bitwiseAND(F.lit(TERMS - 1)).alias("term")).distinct()
     found = sorted(r["term"] for r in terms.collect())  # at most TERMS rows
+    if not found:
+        return
     slots = np.full(TERMS, -1, np.int64)
     slots[found] = np.arange(len(found))
-    if not found:
-        return LatentIndex(slots, np.zeros((0, 0), np.float32), [])
     df, total = _document_frequency(docs, slots, len(found))
     idf = np.log((1 + total) / (1 + df)) + 0.1
     basis = _randomised_svd(passages, slots, idf)
-    queries, held = [], []
-    for r in passages.toLocalIterator():  # the query set, put into sets of bounded size
-        held.append(r)
-        if len(held) == QUERIES:
-            queries.append(_query_set(held, slots, idf, basis))
-            held = []
-    if held:
-        queries.append(_query_set(held, slots, idf, basis))
-    return LatentIndex(slots, (basis * idf[:, None]).astype(np.float32), queries)
+    weighted = (basis * idf[:, None]).astype(np.float32)
+    rows = iter(passages.toLocalIterator())  # the query set, never more of it than one index holds
+    while part := list(islice(rows, QUERIES * SETS)):
+        sets = [part[a : a + QUERIES] for a in range(0, len(part), QUERIES)]
+        yield LatentIndex(slots, weighted, [_query_set(x, slots, idf, basis) for x in sets])
 
 
 def _query_set(rows: list, slots: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> Passages:
@@ -255,11 +286,11 @@ def _query_set(rows: list, slots: np.ndarray, idf: np.ndarray, basis: np.ndarray
             keys.update((k, p) for k in w[rarest].tolist())
     keys = np.array(sorted(keys), np.int64).reshape(-1, 2)
     return Passages(
+        [r["item"] for r in rows],
         [r["item_id"] for r in rows],
         [np.array(r["words"], np.int64) for r in rows],
         [np.array(r["answer"], np.int64) for r in rows],
         vectors.astype(np.float32),
-        [frozenset(r["words"]) for r in rows],
         [r["start"] for r in rows],
         [r["item_words"] for r in rows],
         keys[:, 0].copy(),
@@ -342,20 +373,15 @@ def _short_candidates(
 
 
 def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
-    out: list[dict[int | None, dict]] = [{} for _ in range(len(texts))]
+    out: list[dict[int, dict]] = [{} for _ in range(len(texts))]
     data, offsets = text_buffer(texts)
     starts, ends, first = word_spans(data, offsets)
     words = hash_words(data, starts, ends, lower=True).view(np.int64)
-    if not len(words) or not index.queries:
+    if not len(words):
         return [[] for _ in out]
     blocks, row_block = _block_vectors(words, first, index)
     sketch_at = _terms(words) % SKETCH
     for passages in index.queries:
-        lists = [w.tolist() for w in passages.words]
-        lengths = np.array([len(w) for w in lists])
-        sketch = np.zeros((len(lists), SKETCH), bool)
-        for p, w in enumerate(passages.words):
-            sketch[p, _terms(w) % SKETCH] = True
         short = _short_candidates(words, first, blocks, row_block, passages)
         for block, size, which, cosines in chain(_candidates(blocks, passages), short):
             row = np.searchsorted(row_block, block, side="right") - 1
@@ -363,11 +389,11 @@ def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
             end = np.minimum(begin + size * BLOCK, first[row + 1])
             # no subsequence is longer than the words in common, and a sketch never has fewer of them
             at = begin[:, None] + np.arange(size * BLOCK)
-            common = sketch[which[:, None], sketch_at[np.minimum(at, len(words) - 1)]] & (at < end[:, None])
-            for c in np.flatnonzero(common.sum(axis=1) >= PARAPHRASE * lengths[which]):
+            common = passages.sketch[which[:, None], sketch_at[np.minimum(at, len(words) - 1)]] & (at < end[:, None])
+            for c in np.flatnonzero(common.sum(axis=1) >= PARAPHRASE * passages.lengths[which]):
                 r, text = row[c], words[first[row[c]] : first[row[c] + 1]]
-                _confirm(out[r], text, int(begin[c] - first[r]), int(end[c] - first[r]), lists, passages, int(which[c]), float(cosines[c]))
-    return [sorted(x.values(), key=lambda d: (d["item_id"] is None, d["item_id"] or 0)) for x in out]
+                _confirm(out[r], text, int(begin[c] - first[r]), int(end[c] - first[r]), passages, int(which[c]), float(cosines[c]))
+    return [list(x.values()) for x in out]
 
 
 def _has_run(wanted: list[int], region: list[int]) -> bool:
@@ -396,11 +422,11 @@ def _answer_share(answer: list[int], text: np.ndarray, begin: int, end: int, pas
 
 
 def _confirm(
-    found: dict, text: np.ndarray, begin: int, end: int, lists: list[list[int]], passages: Passages, p: int, cosine: float
+    found: dict, text: np.ndarray, begin: int, end: int, passages: Passages, p: int, cosine: float
 ) -> None:
     """Add the passage's item to those found in a text if the words of the window, and around it, bear it out."""
-    item, wanted, wanted_set = passages.item_ids[p], lists[p], passages.sets[p]
-    region = text[begin:end].tolist()
+    item, wanted = passages.items[p], passages.words[p].tolist()
+    wanted_set, region = set(wanted), text[begin:end].tolist()
     if sum(w in wanted_set for w in region) < PARAPHRASE * len(wanted):
         return
     share = lcs(wanted, region) / len(wanted)
@@ -408,21 +434,52 @@ def _confirm(
         return
     has = _answer_share(passages.answers[p].tolist(), text, begin, end, passages, p)
     if share >= COPY or has >= ANSWER or _has_run(wanted, region):
-        found[item] = {"item_id": item, "lcs": share, "answer": has, "cosine": cosine, "first_word": begin}
+        item_id = passages.item_ids[p]
+        found[item] = {"item": item, "item_id": item_id, "lcs": share, "answer": has, "cosine": cosine, "first_word": begin}
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") -> DataFrame:
     """``docs`` with an array of the benchmark items that each text holds."""
     docs = docs.drop(column)
-    index = docs.sparkSession.sparkContext.broadcast(fit_index(docs, benchmark))  # bounded by TERMS, RANK and the query set
+    leak = _leak_type(benchmark.schema["item_id"].dataType)
+    indexes = fit_index(docs, benchmark)
+    one, more = next(indexes, None), next(indexes, None)
+    if one is None:
+        return docs.withColumn(column, _shown(F.array().cast(leak)))
+    if more is None:
+        found = _searched(docs, one, column, leak)
+        return found.withColumn(column, _shown(F.col(column)))
+    # more than one pass: what the passes find for a text meets by its digest
+    key, own = "__leaks_text", "__leaks_found"
+    texts = docs.select(F.unhex(F.md5("text")).alias(key), "text")
+    parts = []
+    for index in chain([one, more], indexes):
+        found = _searched(texts, index, own, leak).where(F.size(own) > 0)
+        parts.append(written(found.select(key, own).dropDuplicates([key]), "leaks"))
+    found = reduce(DataFrame.unionByName, parts).select(key, F.explode(own).alias("x"))
+    # of an item whose passages went through in several passes the best one counts
+    best = found.groupBy(key, "x.item").agg(F.max_by("x", "x.lcs").alias("x"))
+    best = best.groupBy(key).agg(F.collect_list("x").alias(own))
+    joined = docs.withColumn(key, F.unhex(F.md5("text"))).join(best, key, "left")
+    return joined.withColumn(column, _shown(F.coalesce(own, F.array().cast(leak)))).select(*docs.columns, column)
+
+
+def _shown(leaks: Column) -> Column:
+    """Leaks without the number that tells items apart."""
+    return F.transform(leaks, lambda x: F.struct(*[x[n].alias(n) for n in ("item_id", "lcs", "answer", "cosine", "first_word")]))
+
+
+def _searched(docs: DataFrame, index: LatentIndex, column: str, leak: T.ArrayType) -> DataFrame:
+    """``docs`` with what one pass finds."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by TERMS, RANK, QUERIES and SETS
+    arrow = to_arrow_type(leak)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaks = pa.array(_leaks(batch.column("text"), index.value), _LEAK_ARROW)
+            leaks = pa.array(_leaks(batch.column("text"), shared.value), arrow)
             yield pa.RecordBatch.from_arrays([*batch.columns, leaks], [*batch.schema.names, column])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(column, T._parse_datatype_string(_LEAK))])
-    return docs.mapInArrow(search, schema)
+    return docs.mapInArrow(search, T.StructType([*docs.schema.fields, T.StructField(column, leak)]))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

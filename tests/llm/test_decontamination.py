@@ -163,6 +163,56 @@ def test_short_items_of_a_large_benchmark(spark):
     assert not lost, f"{len(lost)} of {len(want)}, of them verbatim {len(kept)}"
 
 
+def test_items_of_middle_length_in_a_large_benchmark(spark):
+    """5,000 items of 17 to 64 words, verbatim or with a tenth or a fifth of the words replaced."""
+    rng = random.Random(13)
+    vocab = [f"z{k}" for k in rng.choices(range(20000), [1 / (k + 3) for k in range(20000)], k=200000)]
+    items = [(i, rng.choices(vocab, k=rng.randrange(17, 65))) for i in range(5000)]
+    docs, want = [], set()
+    for d in range(600):
+        i, w = items[rng.randrange(len(items))]
+        w = list(w)
+        for at in rng.sample(range(len(w) - 5), len(w) * (d % 3) // 10):
+            w[at] = "edit"
+        want.add((d, i))
+        docs.append((d, " ".join([*rng.choices(vocab, k=rng.randrange(60)), *w, *rng.choices(vocab, k=60)])))
+    lost = want - found_in(spark, docs, [(i, " ".join(w)) for i, w in items])
+    share = {k: 1 - sum(d % 3 == k for d, _ in lost) / 200 for k in range(3)}
+    assert share[0] >= 0.99 and min(share.values()) >= 0.95, share
+
+
+def test_items_that_share_an_id_and_ids_of_other_types(spark):
+    rng = random.Random(3)
+    a, b, c = (" ".join(rng.choices(VOCAB[:900], k=30)) for _ in range(3))
+    docs = spark.createDataFrame([(1, f"{a} x y {b}"), (2, c)], "doc_id long, text string")
+    for kind, ids in (("bigint", (7, 7, None)), ("string", ("q-1", "q-1", None)), ("decimal(20,0)", (1, 1, 2)), ("bigint", (None, None, 2**60 + 1))):
+        rows = [(None if i is None else str(i), t) for i, t in zip(ids, (a, b, c))]
+        items = spark.createDataFrame(rows, "item_id string, text string")
+        items = items.withColumn("item_id", items.item_id.cast(kind))
+        got = dc.with_leaks(docs, items)
+        assert got.schema["leaks"].dataType.elementType["item_id"].dataType == items.schema["item_id"].dataType
+        found = {r.doc_id: sorted(str(x.item_id) for x in r.leaks) for r in got.collect()}
+        assert found == {1: sorted(str(i) for i in ids[:2]), 2: [str(ids[2])]}
+
+
+def test_several_passes_find_the_same(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(i % 9, " ".join(rng.choices(VOCAB, k=rng.randrange(15, 160)))) for i in range(40)]
+    docs = [(d, inside(rng, VOCAB, " ".join(t for _, t in rng.sample(items, 2)).split())) for d in range(20)] + [(20, None), (3, items[0][1])]
+    d = spark.createDataFrame([(*r, "clash") for r in docs], "doc_id long, text string, leaks string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        out = dc.with_leaks(d, b)
+        assert out.columns == ["doc_id", "text", "leaks"]
+        return sorted((r.doc_id, sorted((x.item_id, round(x.lcs, 9)) for x in r.leaks)) for r in out.collect())
+
+    whole = found()
+    monkeypatch.setattr(dc, "QUERIES", 7)
+    monkeypatch.setattr(dc, "SETS", 2)
+    assert found() == whole and sum(len(x) for _, x in whole) >= 40
+
+
 def test_odd_rows(spark):
     item = " ".join(f"w{i}" for i in range(30))
     long = " ".join(f"x{i}" for i in range(400))
