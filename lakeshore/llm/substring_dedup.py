@@ -45,7 +45,7 @@ WINDOW = 20
 ANCHOR = 8
 PERIOD, COVER = 13, (0, 1, 3, 9)
 BITS = 1 << 23  # of the map of rows that may change
-FLUSH = 400_000  # anchors or windows that a task gathers before it sends them
+FLUSH = 1_000_000  # anchors or windows that a task gathers before it sends them
 _SEND = 50_000  # rows of a batch that is sent
 _PLACE_BITS = 22
 _PLACES = 1 << _PLACE_BITS
@@ -146,36 +146,42 @@ def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
     return hashlib.sha256(b" ".join(raw.split())).hexdigest()
 
 
-def _sorted_out(bits: np.ndarray):
-    """Rows that surely have no mark, done; the texts of the others."""
+def _suspect(row_keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether a row may have a mark."""
+    slot = (row_keys & (BITS - 1)).astype(np.int64)
+    return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = np.asarray(batch.column("row_key"))
-            slot = (keys & (BITS - 1)).astype(np.int64)
-            suspect = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
-            data, offsets = text_buffer(batch.column("text"))
-            starts, ends, first = word_spans(data, offsets)
-            digests = [
-                None if odd else _joined(data, starts[x:y], ends[x:y])
-                for odd, x, y in zip(suspect.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True)
-            ]
-            texts = pc.if_else(pa.array(suspect), batch.column("text"), pa.scalar(None, pa.string()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_key"), texts, pa.array(np.diff(first)), pa.array(digests, pa.string())],
-                ["doc_id", "row_key", "text", "n_words", "whole_sha256"],
-            )
 
-    return run
+def _suspects(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows that may have a mark."""
+    for batch in batches:
+        yield batch.filter(pa.array(_suspect(np.asarray(batch.column("row_key")), bits)))
 
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values and offsets of a list column without nulls inside; a null list is empty."""
-    offsets = np.asarray(column.offsets, np.int64)
-    if column.null_count:
-        sizes = np.where(np.asarray(column.is_null()), 0, np.diff(offsets))
-        return np.asarray(column.flatten()), np.append(0, np.cumsum(sizes))
-    return np.asarray(column.flatten()), offsets - offsets[0]
+def _untouched(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The other rows, done."""
+    for batch in batches:
+        batch = batch.filter(pa.array(~_suspect(np.asarray(batch.column("row_key")), bits)))
+        data, offsets = text_buffer(batch.column("text"))
+        starts, ends, first = word_spans(data, offsets)
+        digests = [
+            _joined(data, starts[x:y], ends[x:y]) for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)
+        ]
+        none = pa.nulls(batch.num_rows, pa.string())
+        zero = pa.array(np.zeros(batch.num_rows, np.int64))
+        columns = [batch.column("doc_id"), pa.array(np.diff(first)), zero, pa.array(digests, pa.string()), none]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray | dict[str, np.ndarray], np.ndarray]:
+    """Values (by field, if they are structs) and offsets of a list column; a null list is empty."""
+    sizes = np.where(np.asarray(column.is_null()), 0, np.diff(np.asarray(column.offsets, np.int64)))
+    values = column.flatten()
+    if pa.types.is_struct(values.type):
+        values = {f.name: np.asarray(x) for f, x in zip(values.type, values.flatten(), strict=True)}
+    else:
+        values = np.asarray(values)
+    return values, np.append(0, np.cumsum(sizes))
 
 
 def _windows(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[pa.RecordBatch]:
@@ -256,10 +262,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"))
         starts, ends, first = word_spans(data, offsets)
-        repeats, cuts = _lists(batch.column("starts"))
+        found, cuts = _lists(batch.column("repeats"))
         edge = np.zeros(len(starts) + 1, np.int64)
         size = np.diff(first)
-        at = np.repeat(first[:-1], np.diff(cuts)) + repeats
+        row = np.repeat(np.arange(batch.num_rows), np.diff(cuts))
+        mine = np.ones(len(row), bool)
+        for c in ("doc", "row_key"):  # rows that only share the bits of ``row`` are among them
+            mine &= found[c] == np.asarray(batch.column(c))[row]
+        at = (first[:-1][row] + found["start"])[mine]
         np.add.at(edge, at, 1)
         np.add.at(edge, at + WINDOW, -1)
         copies = np.flatnonzero(np.asarray(batch.column("is_copy")) & (size >= WINDOW))
@@ -339,18 +349,11 @@ def remove_repeats(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
         bits[r["word"]] = np.uint64(r["bits"] & (1 << 64) - 1)
     shared = spark.sparkContext.broadcast(bits)
 
-    def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sorted_out(shared.value)(batches)
-
-    rows = written(
-        keyed.select("doc_id", "row_key", "text").mapInArrow(
-            sort_out, "doc_id bigint, row_key bigint, text string, n_words bigint, whole_sha256 string"
-        ),
-        "substring-rows",
-    )
-    suspects = rows.where(F.col("text").isNotNull()).select(
-        "doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "row_key", "text"
-    )
+    # read again instead of written: a pass over the texts costs less than a copy of them
+    rows = keyed.select("doc_id", "row_key", "text")
+    suspects = rows.mapInArrow(
+        lambda batches: _suspects(batches, shared.value), "doc_id bigint, row_key bigint, text string"
+    ).select("doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "row_key", "text")
     joined = suspects.withColumn("row", _row(F.col("row_key"))).join(marks, "row", "left")
     is_copy = F.coalesce(F.array_contains("copies", F.col("row_key")), F.lit(False))
     repeats = (
@@ -360,21 +363,16 @@ def remove_repeats(docs: DataFrame, flush: int = FLUSH) -> DataFrame:
         .repartition(shuffle_partitions(spark), "h1")
         .sortWithinPartitions("h1", F.shiftright("info", 32), "doc", "row_key", "info")
         .mapInArrow(_later, "row_key bigint, doc bigint, start bigint")
-        .groupBy("row_key", "doc")
-        .agg(F.collect_set("start").alias("starts"))  # no more than the text has words
+        .groupBy(_row(F.col("row_key")).alias("row"))
+        .agg(F.collect_set(F.struct("row_key", "doc", "start")).alias("repeats"))  # no more than the text has words
     )
-    cut = joined.join(repeats, ["row_key", "doc"], "left").select("doc_id", "text", is_copy.alias("is_copy"), "starts")
-    cut = cut.mapInArrow(
-        _cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
+    cut = joined.join(repeats, "row", "left").select(
+        "doc_id", "doc", "row_key", "text", is_copy.alias("is_copy"), "repeats"
     )
-    whole = rows.where(F.col("text").isNull()).select(
-        "doc_id",
-        "n_words",
-        F.lit(0).cast("bigint").alias("n_removed"),
-        F.col("whole_sha256").alias("kept_sha256"),
-        F.lit(None).cast("string").alias("kept_text"),
+    result = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
+    return rows.mapInArrow(lambda batches: _untouched(batches, shared.value), result).unionByName(
+        cut.mapInArrow(_cut, result)
     )
-    return whole.unionByName(cut)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
