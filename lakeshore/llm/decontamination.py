@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lakeshore.llm.common import table, written
+from lakeshore.llm.common import free_name, table, written
 from lakeshore.llm.words import hash_words, text_buffer, word_spans
 
 PASSAGE, STRIDE = 64, 12  # words of a passage, and between the starts of two; (1 - COPY) * PASSAGE at most
@@ -450,7 +450,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") ->
         found = _searched(docs, one, column, leak)
         return found.withColumn(column, _shown(F.col(column)))
     # more than one pass: what the passes find for a text meets by its digest
-    key, own = "__leaks_text", "__leaks_found"
+    key, own = free_name(docs, "text_digest"), free_name(docs, "found")
     texts = docs.select(F.unhex(F.md5("text")).alias(key), "text")
     parts = []
     for index in chain([one, more], indexes):

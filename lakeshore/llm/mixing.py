@@ -137,11 +137,10 @@ def repeat_documents(
 ) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``."""
     sized = written(_sized(docs, seed), "mix-sizes")
-    plan = mix_plan(sized, weights, max_epochs).select(F.struct("whole", "cut").alias("_plan"), "source")
-    taken = _with_plan(docs.withColumn("_u", _hash52(seed)), plan)
-    epochs = F.col("_plan.whole") + F.coalesce((F.col("_u") <= F.col("_plan.cut")).cast("bigint"), F.lit(0))
-    copies = taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), epochs.cast("int"))))
-    return copies.select(*docs.columns)
+    plan = mix_plan(sized, weights, max_epochs).select("source", "whole", "cut")
+    # the caller's columns travel as one value, so none of them meets a name used here
+    taken = _with_plan(docs.select(F.struct("*").alias("row"), "source", _hash52(seed).alias("u")), plan)
+    return taken.select("row", F.explode(F.array_repeat(F.lit(True), _epochs(F.col("u")).cast("int")))).select("row.*")
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,7 +168,10 @@ def _block(percent: int):
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, per_band: int = ROWS) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
+    """doc_id, text_key, n_shingles, component_id, kept, component for each row of ``docs`` (doc_id, text).
+
+    ``component`` tells components apart also where rows share ids; it is null for the empty set.
+    """
     feats = written(
         docs.select(
             F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -231,7 +234,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, per_ba
     )
     found = written(found, "near-found")
     ids = found.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_node = found.join(ids, "component").select("node", "component_id")
+    by_node = found.join(ids, "component").select("node", "component", "component_id")
     out = feats.join(by_node, "node", "left").withColumn(
         "component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )
@@ -241,19 +244,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, per_ba
         "n_shingles",
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "component",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, per_band: int = 4) -> DataFrame:
-    """One document of each group of near-duplicates, with the columns of ``docs``; of rows that
-    repeat ``doc_id`` and text one stays."""
-    kept = near_duplicates(docs, shingle, percent, per_band).where("kept")
-    kept = kept.select(F.col("doc_id").alias("__near_id"), F.col("text_key").alias("__near_key")).distinct()
-    keyed = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    staying = keyed.join(
-        kept, (keyed["__text_key"] == kept["__near_key"]) & keyed["doc_id"].eqNullSafe(kept["__near_id"])
-    )
-    return staying.dropDuplicates(["__near_id", "__near_key"]).select(*docs.columns)
+    """One document of each group of near-duplicates, with the columns of ``docs``.
+
+    It is the one of the least ``doc_id`` (null last), of several texts under that id the one of
+    the least hash. Documents of the empty set stay; of rows that repeat id and text one stays.
+    """
+    near = near_duplicates(docs, shingle, percent, per_band)
+    place = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_key")
+    one = near.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(place).alias("one"))
+    empty = near.where(F.col("component").isNull()).select("doc_id", "text_key").distinct()
+    staying = one.select("one.doc_id", "one.text_key").unionByName(empty)
+    staying = staying.select(F.col("doc_id").alias("near_id"), F.col("text_key").alias("near_key"))
+    # the caller's columns travel as one value, so none of them meets a name used here
+    text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), text_key.alias("key"))
+    kept = rows.join(staying, (F.col("key") == F.col("near_key")) & F.col("id").eqNullSafe(F.col("near_id")))
+    return kept.dropDuplicates(["near_id", "near_key"]).select("row.*")
 
 
 def _placed(member: DataFrame, component: DataFrame | None) -> DataFrame:
@@ -315,4 +326,4 @@ def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of near-duplicates it belongs to."""
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "component")

@@ -206,14 +206,14 @@ def fit(stats: DataFrame, labels: DataFrame) -> QualityModel:
     return QualityModel(mean, scale, models[0], x, y)
 
 
-def score(rows: DataFrame, model: QualityModel) -> DataFrame:
-    """``rows`` (with ``stats``) and their ``score``."""
+def score(rows: DataFrame, model: QualityModel, stats: str = "stats", name: str = "score") -> DataFrame:
+    """``rows`` with the score of their statistics as column ``name``."""
 
     @F.pandas_udf("double")
-    def scored(stats: pd.Series) -> pd.Series:
-        return pd.Series(model.score(_stack(stats))) if len(stats) else pd.Series([], dtype="float64")
+    def scored(column: pd.Series) -> pd.Series:
+        return pd.Series(model.score(_stack(column))) if len(column) else pd.Series([], dtype="float64")
 
-    return rows.withColumn("score", scored("stats"))
+    return rows.withColumn(name, scored(stats))
 
 
 def crc_fold(doc_id: int) -> int:

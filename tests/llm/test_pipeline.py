@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -53,7 +55,7 @@ def test_stages_by_their_own_input(spark):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 def test_odd_documents(spark):
@@ -65,3 +67,31 @@ def test_odd_documents(spark):
         for _, stage in corpus_pipeline.STAGES:
             rows = written(stage(spark, rows, SF_SMOKE), "t")
         assert rows.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_callers_columns_come_back_untouched(spark):
+    """Columns named like those that the stages use, one row a group also where ids repeat."""
+    docs = table(spark, SF_SMOKE, "documents")
+    names = ["_u", "u", "_source", "_plan", "_copy", "row", "stats", "score", "leaks", "_leaks", "near_id", "text_key", "id", "found", "whole", "cut"]
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    docs = written(docs, "t")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs_after = written(stage(spark, docs, SF_SMOKE), "t")
+        assert docs_after.columns == docs.columns
+        wrong = [F.col(n) != F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names]
+        assert docs_after.count() > 0
+        assert docs_after.where(reduce(lambda a, b: a | b, wrong)).count() == 0
+        docs = docs_after
+
+
+def test_rows_that_share_an_id_leave_one_near_duplicate(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words, x]) for x in "abc"]
+    rows = [(1, near[0]), (1, near[1]), (1, near[2]), (2, near[0]), (None, near[1]), (1, "some other text of seven words here"), (5, ""), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF_SMOKE).collect()]
+    assert sorted(k[0] for k in kept) == [1, 1, 5, 6]
+    assert sum((k[1] or "").startswith("w0") for k in kept) == 1
+    nulls = spark.createDataFrame([(None, near[0]), (None, near[1])], "doc_id long, text string")
+    assert corpus_pipeline.near_dedup(spark, nulls, SF_SMOKE).count() == 1
