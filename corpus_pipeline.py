@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.llm.common import fresh_path, table, written
+from lakeshore.llm.common import free_name, fresh_path, table, written
 from lakeshore.llm.decontamination import with_leaks
 from lakeshore.llm.mixing import repeat_documents
 from lakeshore.llm.near_dedup import drop_near_duplicates
@@ -21,9 +21,10 @@ from lakeshore.llm.token_files import read_token_files, write_token_files
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    stats = docs.withColumn("stats", statistics(F.col("text")))
-    model = fit(stats.select("doc_id", "stats"), table(spark, sf_dir, "labels"))
-    return score(stats, model).where(F.col("score") >= THRESHOLD).select(*docs.columns)
+    stats, scored = free_name(docs, "stats"), free_name(docs, "score")
+    rows = docs.withColumn(stats, statistics(F.col("text")))
+    model = fit(rows.select("doc_id", F.col(stats).alias("stats")), table(spark, sf_dir, "labels"))
+    return score(rows, model, stats, scored).where(F.col(scored) >= THRESHOLD).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +34,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a copy or paraphrase of a benchmark item."""
-    found = with_leaks(docs, table(spark, sf_dir, "benchmark"), "_leaks")
-    return found.where(F.size("_leaks") == 0).select(*docs.columns)
+    leaks = free_name(docs, "leaks")
+    found = with_leaks(docs, table(spark, sf_dir, "benchmark"), leaks)
+    return found.where(F.size(leaks) == 0).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
