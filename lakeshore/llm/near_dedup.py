@@ -15,7 +15,10 @@ are candidates. Groups can be large, so pairs are not listed group by group:
 2. in groups that still hold more than one component, the nodes outside the
    group's largest component are compared with all nodes of other components, in
    blocks of bounded size inside tasks. Two nodes of one component need no
-   comparison: a link between them would change nothing.
+   comparison: a link between them would change nothing;
+3. nodes of groups beyond ``CROWD`` meet by their rarest shingles instead, of which
+   two sets that can be linked share one for certain, so a passage that thousands
+   of documents share does not send their sets to each other.
 
 Together that decides every candidate pair that can matter; every link is
 confirmed on full sets. With ``BANDS`` bands of ``ROWS`` coordinates two documents
@@ -48,6 +51,9 @@ BANDS, ROWS = 22, 5
 CIRCLE = 1 << 22  # places the shingles are dealt onto
 LEADER_ROUNDS = 3
 MINORS, MEMBERS = 256, 1024  # nodes of the two sides of a block
+CROWD = 1024  # nodes of a band that are compared in blocks
+FEW = 64  # nodes that share a rare shingle and are compared pair by pair
+COUNTERS = 1 << 20  # for the counts that tell which shingles are rare
 _VIEWS: dict[int, np.ndarray] = {}
 
 
@@ -282,22 +288,97 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components that share a band, block by block."""
-    placed = written(placed, "near-placed")
-    shares = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    groups = shares.groupBy("band").agg(
+    """Links between different components that share a band."""
+    placed = written(placed.select("band", "node", "component"), "near-placed")
+    groups = written(_mixed_groups(placed, "band"), "near-groups")
+    links = _blocks(placed, "band", groups.where(F.col("n_all") <= CROWD), sets, percent)
+    crowded = placed.join(groups.where(F.col("n_all") > CROWD).select("band"), "band", "left_semi")
+    crowded = written(crowded.select("node", "component").distinct(), "near-crowded")
+    if crowded.isEmpty():
+        return links.distinct()
+    return links.unionByName(_crowded_links(crowded, sets, percent)).distinct()
+
+
+def _crowded_links(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes (node, component) of crowded bands.
+
+    Two sets as similar as a link needs share one of their rarest shingles, so many of each
+    as the other may lack and one more. So crowded nodes meet by these instead of by band:
+    a passage that all of them hold is no longer what brings them together. Any order of
+    shingles will do, so counts in a table of fixed size tell which are rare.
+    """
+    held = written(sets.join(crowded, "node").select("node", "component", "shingles"), "near-crowded-sets")
+    rare = written(_rare_shingles(held, percent), "near-rare")
+    groups = written(_mixed_groups(rare, "token"), "near-rare-groups")
+    few = rare.join(groups.where(F.col("n_all") <= FEW).select("token"), "token")
+    one, other = few.alias("one"), few.alias("other")
+    size, other_size = F.col("one.size"), F.col("other.size")
+    pairs = (
+        one.join(other, "token")
+        .where((F.col("one.node") < F.col("other.node")) & (F.col("one.component") != F.col("other.component")))
+        .where(F.least(size, other_size) * 100 >= F.greatest(size, other_size) * percent)
+        .select(F.col("one.node").alias("a"), F.col("other.node").alias("b"))
+        .distinct()
+    )
+    links = _confirm(pairs, held.select("node", "shingles"), percent)
+    return links.unionByName(_blocks(rare, "token", groups.where(F.col("n_all") > FEW), sets, percent))
+
+
+def _rare_shingles(held: DataFrame, percent: int) -> DataFrame:
+    """node, component, size, token for the rarest shingles of each set (node, component, shingles)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            flat = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)
+            total += np.bincount(flat & np.uint64(COUNTERS - 1), minlength=COUNTERS).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+
+    parts = held.select("shingles").mapInArrow(count, "total binary").rdd
+    counts = parts.map(lambda r: np.frombuffer(r["total"], np.uint32)).treeReduce(np.add, depth=2)
+    shared = held.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, sizes, tokens = [], [], []
+            for i, raw in enumerate(batch.column("shingles").to_pylist()):
+                s = np.frombuffer(raw, np.uint64)
+                spare = len(s) - -(-percent * len(s) // 100) + 1
+                rarest = s[np.lexsort((s, shared.value[s & np.uint64(COUNTERS - 1)]))[:spare]]
+                at += [i] * len(rarest)
+                sizes += [len(s)] * len(rarest)
+                tokens.append(rarest.view(np.int64))
+            rows = pa.array(at, pa.int64())
+            flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node").take(rows), batch.column("component").take(rows), pa.array(sizes, pa.int64()), pa.array(flat)],
+                ["node", "component", "size", "token"],
+            )
+
+    return held.mapInArrow(pick, "node binary, component binary, size bigint, token bigint")
+
+
+def _mixed_groups(members: DataFrame, key: str) -> DataFrame:
+    """The groups of ``members`` (key, node, component) with several components: the largest one,
+    the number of nodes outside it and of all."""
+    shares = members.groupBy(key, "component").agg(F.count(F.lit(1)).alias("n"))
+    groups = shares.groupBy(key).agg(
         F.max_by("component", F.struct("n", "component")).alias("main"),
         (F.sum("n") - F.max("n")).alias("n_minor"),
         F.sum("n").alias("n_all"),
         F.count(F.lit(1)).alias("parts"),
     )
-    groups = groups.where("parts > 1")
+    return groups.where("parts > 1")
+
+
+def _blocks(members: DataFrame, key: str, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of a group, block by block."""
 
     def block(count: Column, size: int) -> Column:
         return F.ceil(count / size).cast("int")
 
-    spread = placed.join(groups, "band").select(
-        "band",
+    spread = members.join(groups, key).select(
+        key,
         "node",
         "component",
         (F.col("component") != F.col("main")).alias("is_minor"),
@@ -306,21 +387,20 @@ def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         F.xxhash64("node", F.lit("block")).alias("h"),
     )
     as_member = spread.select(
-        "band", "node", "component", F.lit(False).alias("minor"),
+        key, "node", "component", F.lit(False).alias("minor"),
         F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"),
         F.pmod("h", "cols").cast("int").alias("j"),
     )
     as_minor = spread.where("is_minor").select(
-        "band", "node", "component", F.lit(True).alias("minor"),
+        key, "node", "component", F.lit(True).alias("minor"),
         F.pmod("h", "rows").cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"),
     )
     return (
         as_member.unionByName(as_minor)
         .join(sets, "node")
-        .groupBy("band", "i", "j")
+        .groupBy(key, "i", "j")
         .applyInPandas(_block(percent), "a binary, b binary")
-        .distinct()
     )
 
 

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from lakeshore.llm import near_dedup as nd
-from lakeshore.llm.common import table
+from lakeshore.llm.common import table, written
 from lakeshore.llm.components import connected_components
 from tests.conftest import SF_SMOKE
 
@@ -76,3 +79,66 @@ def test_components(spark):
     got = {(r.node, r.component) for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (10, 4), (11, 4), (20, 20), (30, 20)}
     assert got == want | {(100 + i, 100) for i in range(41)}
+
+
+def _nodes(spark, sets):
+    rows = [(bytes([7]) + k.to_bytes(4, "big"), np.sort(np.array(list(s), np.uint64)).tobytes()) for k, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "node binary, shingles binary")
+
+
+def _similar(sets, percent):
+    return {
+        (i, j) for i in range(len(sets)) for j in range(i)
+        if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
+    }
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_rare_shingles_lose_no_link(spark, monkeypatch, percent):
+    """Sets that overlap in all degrees, all in one band: every link between components is found."""
+    rng = random.Random(percent)
+    base = [rng.sample(range(1, 2000), 60) for _ in range(4)]
+    sets = []
+    for k in range(220):
+        s = set(rng.choice(base))
+        for _ in range(rng.randrange(12)):
+            s.discard(rng.choice(sorted(s)))
+            s.add(rng.randrange(1, 10**6))
+        sets.append(s if k % 20 else {k})
+    nodes = _nodes(spark, sets)
+    placed = nodes.select(F.lit(5).alias("band"), "node", F.col("node").alias("component"))
+    for crowd, few in ((1024, 64), (3, 64), (3, 2)):
+        monkeypatch.setattr(nd, "CROWD", crowd)
+        monkeypatch.setattr(nd, "FEW", few)
+        got = {tuple(int.from_bytes(x[1:], "big") for x in r) for r in nd._rest(placed, nodes, percent).collect()}
+        assert {(max(p), min(p)) for p in got} == _similar(sets, percent)
+
+
+def test_a_band_of_many_unlinked_nodes(spark):
+    """20,000 nodes that share half their shingles: hardly a pair is compared."""
+    rng = random.Random(1)
+    shared, n = set(range(1, 41)), 20_000
+    sets = [shared | {rng.randrange(10**3, 10**12) for _ in range(40)} for _ in range(n)]
+    twins = {}
+    for k in range(0, 400, 2):
+        sets[k + 1] = set(sorted(sets[k])[:-4]) | {10**13 + k}
+        twins[k] = k + 1
+    nodes = written(_nodes(spark, sets).repartition(8), "t")
+    crowded = nodes.select("node", F.col("node").alias("component"))
+    rare = nd._rare_shingles(nodes.join(crowded, "node"), 85)
+    assert rare.count() <= n * 13  # a seventh of each set, and never a shingle that all share
+    assert rare.where(F.col("token").between(1, 40)).count() == 0
+    assert nd._mixed_groups(rare, "token").agg(F.max("n_all"), F.sum("n_all")).first()[1] <= 20 * 2 * len(twins)
+    got = {tuple(sorted(int.from_bytes(x[1:], "big") for x in r)) for r in nd._crowded_links(crowded, nodes, 85).collect()}
+    assert got == set(twins.items())
+
+
+def test_null_and_repeated_ids(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(None, a), (None, a + " more"), (5, b), (5, a), (5, a), (9, b + " more"), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in nd.near_duplicates(docs).collect())
+    assert got == sorted([
+        ("None", 38, "5", False), ("None", 39, "5", False), ("5", 38, "5", True), ("5", 38, "5", True), ("5", 38, "5", True),
+        ("9", 39, "5", False), ("None", 0, "None", True), ("None", 0, "None", True),
+    ])
