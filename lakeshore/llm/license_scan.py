@@ -10,8 +10,11 @@ band with its template with probability ``CERTAINTY`` at least. Windows that sha
 a band with a template are verified by the exact share of its shingles.
 
 Windows without a single shingle of any template can share no band, so they are
-left out before hashing; that loses nothing. Templates are a parameter, held as
-one small table and one literal; built-in functions only.
+left out before hashing; that loses nothing. A template that names a version is
+found only where one of the shingles that name it is there, so another version of
+the same license is not taken for it. Templates are a parameter, a small table:
+``TEMPLATES`` holds notices of common licenses and the texts of short ones,
+``read_templates`` a folder of whole texts. Built-in functions only.
 
 Defined cases: null, empty and short texts match nothing; templates under five
 words have no shingles and match nothing; a document that holds a template several
@@ -33,7 +36,7 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 CERTAINTY = 0.999
 
-# Short license notices as projects print them.
+# License notices as projects print them, and whole texts of the short licenses.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0-notice", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
@@ -42,7 +45,36 @@ TEMPLATES = [
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT-notice", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0-notice", "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or"),
+    ("Apache-2.0-warranty", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    ("BSD-2-Clause-text", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause-text", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSL-1.0-notice", "Distributed under the Boost Software License, Version 1.0."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0-notice", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("EPL-2.0-notice", "This program and the accompanying materials are made available under the terms of the Eclipse Public License, version 2.0"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0-notice", "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or"),
+    ("GPL-3.0-notice", "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or"),
+    ("ISC-text", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1-notice", "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or"),
+    ("LGPL-3.0-notice", "modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or"),
+    ("MIT-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("MPL-2.0-notice", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    ("Unlicense-text", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("Zlib-text", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
 ]
+VERSION = r"\b(version|v|license|attribution|noncommercial|sharealike) \d"  # what tells versions of a license apart
+
+
+def read_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """license_id, text of the text files of a folder, such as a collection of whole license texts."""
+    files = spark.read.option("wholetext", "true").text(folder)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.txt)?$", 1)
+    return files.select(name.alias("license_id"), F.col("value").alias("text"))
 
 
 def words(text: Column) -> Column:
@@ -60,6 +92,17 @@ def shingles(text: Column) -> Column:
     return F.element_at(F.transform(F.array(words(text)), of), 1)
 
 
+def version_shingles(text: Column) -> Column:
+    """Hashes of the runs of five words that name a version."""
+
+    def of(w: Column) -> Column:
+        starts = F.when(F.size(w) >= SHINGLE, F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)))
+        runs = F.filter(F.transform(starts, lambda i: F.slice(w, i, SHINGLE)), lambda r: F.rlike(F.concat_ws(" ", r), F.lit(VERSION)))
+        return F.transform(runs, lambda r: F.xxhash64(r))
+
+    return F.element_at(F.transform(F.array(words(text)), of), 1)
+
+
 def bands_needed() -> int:
     """Single-row bands for a window of up to 4 m - 4 shingles that holds ``CONTAINMENT`` of m."""
     similarity = CONTAINMENT / (4 + 1 - CONTAINMENT)
@@ -78,14 +121,18 @@ def scan_licenses(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """doc_id, license_id, containment, first_shingle (of the window) for ``docs`` (doc_id, text)
     and ``templates`` (license_id, text)."""
     known = (
-        templates.select("license_id", F.array_distinct(shingles(F.col("text"))).alias("template"))
+        templates.select(
+            "license_id",
+            F.array_distinct(shingles(F.col("text"))).alias("template"),
+            version_shingles(F.col("text")).alias("versions"),
+        )
         .where(F.size("template") > 0)
         .withColumn("width", F.pow(F.lit(2.0), F.ceil(F.log2(F.size("template").cast("double")))).cast("int"))
     )
     known = written(known, "license-templates")
     widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # powers of two
-    vocabulary = known.select(F.explode("template").alias("s")).distinct().agg(F.collect_list("s").alias("s")).first()["s"]
-    anything = F.array(*[F.lit(s) for s in vocabulary]).cast("array<bigint>")
+    # a subquery, so the plan is as small for thousands of templates as for one
+    anything = known.select(F.explode("template").alias("s")).agg(F.collect_set("s")).scalar()
     hits = (
         docs.select("doc_id", F.xxhash64("text").alias("text_key"), shingles(F.col("text")).alias("h"))
         .where(F.arrays_overlap("h", anything))
@@ -102,9 +149,10 @@ def scan_licenses(docs: DataFrame, templates: DataFrame) -> DataFrame:
     )
     banded = windows.select("*", F.posexplode(min_hashes(F.col("window"))).alias("band", "least"))
     template_bands = known.select(
-        "license_id", "template", F.col("width"), F.posexplode(min_hashes(F.col("template"))).alias("band", "least")
+        "license_id", "template", "versions", F.col("width"), F.posexplode(min_hashes(F.col("template"))).alias("band", "least")
     )
-    found = banded.join(template_bands, ["width", "band", "least"]).select(
+    named = (F.size("versions") == 0) | F.arrays_overlap("versions", "window")
+    found = banded.join(template_bands, ["width", "band", "least"]).where(named).select(
         "doc_id",
         "text_key",
         "license_id",
