@@ -72,6 +72,11 @@ def changed_sources(sources: dict, percent: int, days: int, newest_from: int | N
     return out
 
 
+def bytes_written(run: dict) -> int:
+    """Bytes that the bronze and silver upserts of a run wrote."""
+    return sum(r["bytes_written"] for r in run["runs"]) + sum(r.bytes_written for r in run["silver"].values())
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -113,6 +118,7 @@ def main() -> None:
     timings["pipeline_incremental_1pct"] = round(time.time() - t, 3)
     for step, sec in inc["timings"].items():
         timings[f"inc1_{step}"] = round(sec, 3)
+    written = {"full_load": bytes_written(full), "incremental_1pct": bytes_written(inc)}
 
     max_key = sources["salesorderheader"].agg(F.max("SalesOrderID")).first()[0]
     t = time.time()
@@ -122,10 +128,12 @@ def main() -> None:
     timings["pipeline_incremental_recent_1pct"] = round(time.time() - t, 3)
     for step, sec in recent["timings"].items():
         timings[f"recent1_{step}"] = round(sec, 3)
+    written["incremental_recent_1pct"] = bytes_written(recent)
 
     t = time.time()
-    run_all(spark, ctx, changed_sources(sources, 100, 6000), validate=False)
+    every = run_all(spark, ctx, changed_sources(sources, 100, 6000), validate=False)
     timings["pipeline_incremental_100pct"] = round(time.time() - t, 3)
+    written["incremental_100pct"] = bytes_written(every)
 
     headline_total = sum(timings[n] for n in HEADLINE)
     pipeline_total = (
@@ -141,6 +149,7 @@ def main() -> None:
                 "value": round(headline_total + pipeline_total, 3),
                 "unit": "sec",
                 "queries": timings,
+                "bronze_and_silver_bytes_written": written,
                 "sf": sf,
                 "cpus": cpus,
             }

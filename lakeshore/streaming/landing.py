@@ -6,9 +6,10 @@ filters the batches: how many files share a batch must not decide which rows
 survive. Rows are resolved by key instead. Of the rows of a key in a batch the
 newest stamp wins (of equal stamps any one, as a whole row), and a row replaces the
 table's only if its stamp is newer; a NULL stamp is older than any other. Rows with
-a NULL key part match nothing and are appended. A replayed micro-batch is harmless:
-rows equal in key and stamp change nothing, and appended rows equal in all columns
-to one of the table are not appended again.
+a NULL key part match nothing and are appended, every one of them. The number of the
+last finished micro-batch is kept for each stream, and a replay of it is passed over;
+one that stopped while it was written is written again, which changes nothing for
+keyed rows and may repeat rows with a NULL key part.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ from pyspark.sql.types import StructType
 
 from lakeshore.context import PipelineContext
 from lakeshore.functions.keys import any_null
-from lakeshore.operators.incremental import commit_mark
+from lakeshore.operators.incremental import commit_mark, committed_mark
 from lakeshore.operators.upsert import (
     BUCKET_COL,
     create_bucketed_table_like,
+    drop_old_versions,
     hashable_columns,
     resolve_columns,
     upsert_table,
@@ -50,10 +52,7 @@ def newer_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], stamp:
     joined = newest_per_key(batch, keys, stamp).join(held, list(keys), "left")
     newer = F.col("_found").isNull() | (F.col(stamp) > F.col("_held")) | (F.col("_held").isNull() & F.col(stamp).isNotNull())
     matched = joined.where(newer).select(*batch.columns)
-    row_hash = F.xxhash64(*hashable_columns(batch)).alias("_hash")
-    known = target.where(any_null(keys)).select(row_hash)
-    loose = batch.where(any_null(keys)).select("*", row_hash).join(known, "_hash", "left_anti").drop("_hash")
-    return matched.unionByName(loose)
+    return matched.unionByName(batch.where(any_null(keys)))
 
 
 def landing_batch_writer(ctx: PipelineContext, spec: DatasetSpec):
@@ -62,23 +61,35 @@ def landing_batch_writer(ctx: PipelineContext, spec: DatasetSpec):
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        # the stream's own number, the same after a restart from its checkpoint
+        stream = f"{target}#{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+        done = committed_mark(spark, ctx.control_db, stream)
+        if done is not None and epoch_id <= int(done):
+            return
         create_bucketed_table_like(spark, target, batch)
         spark.catalog.refreshTable(target)
-        stamp = spec.watermark_column
+        stamp, types = spec.watermark_column, {f.name.lower(): f.dataType for f in spark.read.table(target).schema}
+        # the table's types decide: the hash of an int is not that of a bigint
+        batch = batch.select(*[F.col(c).cast(types[c.lower()]).alias(c) for c in batch.columns])
+        bucket, layout = bucket_for(spec, hashable_columns(batch))
+        touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # at most one row per bucket
+        held = spark.read.table(target).where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
         result = upsert_table(
             spark,
             target,
-            newer_rows(spark.read.table(target).drop(BUCKET_COL), batch, spec.merge_on, stamp),
+            newer_rows(held, batch, spec.merge_on, stamp),
             spec.merge_on,
-            buckets=spec.buckets,
             stamp=stamp,
             check_duplicates=False,
-            bucket=bucket_for(spec, hashable_columns(batch)),
+            bucket=bucket,
+            layout=layout,
         )
         mark = current_mark(spark, ctx, target, stamp)
         # stamps are rendered alike, so their texts compare as they do
         if result.max_stamp is not None and (mark is None or str(result.max_stamp) > str(mark)):
             commit_mark(spark, ctx.control_db, target, result.max_stamp)
+        commit_mark(spark, ctx.control_db, stream, str(epoch_id))
+        drop_old_versions(spark, target)
 
     return write
 
