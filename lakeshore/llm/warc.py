@@ -33,6 +33,7 @@ from lakeshore.llm.common import fresh_path, table
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
 SEPARATOR = CRLF + CRLF
+HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 _NAME_ENDS = r"(?=[\s/>]|\Z)"  # <head-banner> is no <head>
 _HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|title)" + _NAME_ENDS, re.I)
@@ -100,27 +101,61 @@ def _digest(block: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(block, 256))
 
 
-def responses(pages: DataFrame) -> DataFrame:
-    """record_id, target_uri, date, page_id, headers, payload of raw pages (page_id, url, html)."""
+def responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+    """record_id, target_uri, date, page_id, headers, payload of raw pages (page_id, url, html).
+
+    The pages carry neither HTTP headers nor a time of capture: a record's block is the page
+    under ``HTTP_HEAD``, and ``date`` is given by the caller.
+    """
     uri = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "[\\r\\n]+", "")
     payload = F.coalesce(F.col("html"), F.lit(""))
     page_id = F.col("page_id").cast("bigint")
     return pages.select(
         _urn(F.lit("response"), F.coalesce(page_id.cast("string"), F.lit("")), uri, F.sha2(payload, 256)).alias("record_id"),
         uri.alias("target_uri"),
-        F.lit("1970-01-01T00:00:00Z").alias("date"),
+        F.lit(date).alias("date"),
         page_id.alias("page_id"),
         F.map_from_arrays(
             F.array(F.lit("WARC-Type"), F.lit("Content-Type"), F.lit("WARC-Payload-Digest"), F.lit("Content-Length")),
             F.array(
                 F.lit("response"), F.lit("application/http;msgtype=response"), _digest(payload),
-                F.octet_length(payload).cast("string"),
+                (F.octet_length(payload) + len(HTTP_HEAD)).cast("string"),
             ),
         ).alias("headers"),
         payload.alias("payload"),
     )
 
 
+def write_responses(source: DataFrame, path: str) -> None:
+    """The responses as WARC files."""
+    lines = [
+        F.lit(VERSION),
+        F.concat(F.lit("WARC-Record-ID: "), F.col("record_id")),
+        F.concat(F.lit("WARC-Target-URI: "), F.col("target_uri")),
+        F.concat(F.lit("WARC-Date: "), F.col("date")),
+        F.concat(F.lit("WARC-Page: "), F.col("page_id").cast("string")),
+        F.array_join(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), CRLF),
+    ]
+    record = F.concat(F.concat_ws(CRLF, *lines), F.lit(SEPARATOR + HTTP_HEAD), F.col("payload"))
+    source.select(record.alias("value")).write.option("lineSep", SEPARATOR).text(path)
+
+
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    """The response records of WARC files, for ``derive``; the payload is what follows the HTTP head."""
+    records = read_warc(spark, path).where(F.col("headers")["WARC-Type"] == "response")
+    h = F.col("headers")
+    kept = F.map_filter("headers", lambda k, _: ~k.isin("WARC-Record-ID", "WARC-Target-URI", "WARC-Date", "WARC-Page"))
+    head = F.length(F.substring_index("block", SEPARATOR, 1)) + len(SEPARATOR)
+    return records.select(
+        h["WARC-Record-ID"].alias("record_id"),
+        F.coalesce(h["WARC-Target-URI"], F.lit("")).alias("target_uri"),
+        h["WARC-Date"].alias("date"),
+        h["WARC-Page"].cast("bigint").alias("page_id"),
+        kept.alias("headers"),
+        F.substring(F.col("block"), head + 1, F.length("block")).alias("payload"),
+    )
+
+
 def derive(source: DataFrame) -> DataFrame:
     """The records derived from responses: header (name and value pairs in order) and block."""
 

@@ -41,3 +41,42 @@ def test_odd_rows(spark):
     none = q.score(stats, q.fit(stats, labels.limit(0))).select("score").distinct().collect()
     assert [r.score for r in none] == [0.5]
     assert q.score(stats.limit(0), q.fit(stats.limit(0), labels)).count() == 0
+
+
+def test_summed_equations_give_the_direct_solution(spark):
+    """Ridge weights of the model and of each fold against one dense solve; calibration of out-of-fold scores."""
+    docs = table(spark, SF_CHECK, "documents")
+    stats = docs.select("doc_id", q.statistics(docs["text"]).alias("stats"))
+    labels = table(spark, SF_CHECK, "labels")
+    model = q.fit(stats.repartition(7), labels)
+    rows = stats.join(labels, "doc_id").toPandas()
+    fold = rows.doc_id.map(q.crc_fold).to_numpy()
+    x, y = q._stack(rows["stats"])[fold != 0], rows.quality.to_numpy(float)[fold != 0]
+    fold = fold[fold != 0]
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-9), atol=1e-6)
+    z = model.features(x)
+
+    def solve(keep):
+        a = np.vstack([z[keep], np.sqrt(q.RIDGE * keep.sum()) * np.eye(z.shape[1])])
+        return np.linalg.lstsq(a, np.append(y[keep], np.zeros(z.shape[1])), rcond=None)[0]
+
+    assert np.allclose(model.weights, solve(np.ones(len(y), bool)), atol=1e-6)
+    raw = np.zeros(len(y))
+    for k in range(1, 5):
+        raw[fold == k] = z[fold == k] @ solve(fold != k)
+    bins = np.rint(np.clip(raw, -1, 2) * q.GRID).astype(int)
+    at = np.unique(bins)
+    xs, ys = q.isotonic(at / q.GRID, np.array([y[bins == b].sum() for b in at]), np.array([(bins == b).sum() for b in at], float))
+    grid = np.linspace(-0.5, 1.5, 41)
+    gap = np.abs(np.interp(grid, model.steps_x, model.steps_y) - np.interp(grid, xs, ys))
+    assert np.median(gap) < 1e-9 and gap.max() < 0.1  # a score at the edge of a bin may round the other way
+
+
+def test_long_texts_repeated_rows_and_ties(spark):
+    rows = [(1, "word " * 400_000, 0), (2, "Good text, it is. " * 40, 1), (2, "Good text, it is. " * 40, 1), (3, "Good text, it is. " * 40, 0)]
+    rows += [(i, f"Plain words {i} and more of them.", i % 2) for i in range(4, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    stats = docs.withColumn("stats", q.statistics(docs["text"]))
+    got = q.score(stats, q.fit(stats, docs.select("doc_id", "quality"))).select("doc_id", "score").collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (2, 3)}) == 1  # equal texts, equal scores

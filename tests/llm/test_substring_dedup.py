@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from lakeshore.llm import substring_dedup as sd
@@ -65,3 +66,32 @@ def test_repeated_rows_and_empty_table(spark):
         got = sorted((r.doc_id, r.n_removed) for r in sd.remove_repeats(docs, flush).collect())
         assert got == [(1, 0), (1, 0), (2, 30)]
     assert sd.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_texts_of_more_words_than_place_numbers(spark, monkeypatch):
+    """Places are cut to fewer bits than the text has words: results stay exact."""
+    monkeypatch.setattr(sd, "_PLACE_BITS", 6)
+    monkeypatch.setattr(sd, "_PLACES", 1 << 6)
+    rng = random.Random(4)
+    w = [f"{rng.choice('abcdefgh')}{rng.randrange(60)}" for _ in range(700)]
+    w[500:560] = w[100:160]
+    rows = [(1, " ".join(w)), (2, " ".join(w[300:420])), (3, " ".join(w[650:] + w[:30]))]
+    frame = pa.record_batch([pa.array([t for _, t in rows]), pa.array([11, 22, 33])], ["text", "row_key"])
+    anchors = pa.Table.from_batches(sd._anchors([frame], 10**6)).sort_by("anchor").to_batches()
+    marks = [(r["row"], r["place"]) for b in sd._marked(anchors) for r in b.to_pylist()]
+    places = [sorted({p for r, p in marks if r == k}) for k in (11, 22, 33)]
+    batch = pa.record_batch(
+        [pa.array([t for _, t in rows]), pa.array([11, 22, 33]), pa.array([1, 2, 3]), pa.array(places, pa.list_(pa.int32()))],
+        ["text", "row_key", "doc", "places"],
+    )
+    windows = pa.Table.from_batches(sd._windows([batch], 10**6)).to_pylist()
+    gone = {(r["doc"], (r["info"] & 0xFFFFFFFF) >> 1) for r in windows if r["info"] & 1}
+    seen, want = set(), set()
+    for doc, text in rows:
+        t = text.split()
+        for i in range(len(t) - 19):
+            key = tuple(t[i : i + 20])
+            if key in seen:
+                want.add((doc, i))
+            seen.add(key)
+    assert want and gone == want

@@ -78,3 +78,34 @@ def test_files_are_valid_and_odd_rows(spark):
     assert sorted(b.decode() for _, b in records) == sorted(r.block for r in read) and len(read) == 10
     assert sorted(h["WARC-Record-ID"] for h, _ in records) == sorted(r.headers["WARC-Record-ID"] for r in read)
     assert warc.derive(warc.responses(pages.limit(0))).count() == 0
+
+
+PAGE = """<!doctype html><html><head><title>Caf&eacute;  menu</title><script>var a = "<p>no</p>";</script></head>
+<body><h1>Menu</h1><ul><li>Tea &amp; cake</li><li>Soup <b>of the day</b></li></ul>
+<!-- hidden --><p>See <a href="/more?x=1&amp;y=2">more</a>.</p></body></html>"""
+
+
+def test_expectations_written_by_hand(spark):
+    pages = spark.createDataFrame([(5, "http://cafe.test/", PAGE)], "page_id long, url string, html string")
+    rows = {r.type: r for r in warc.derive(warc.responses(pages, date="2024-05-06T07:08:09Z")).collect()}
+    assert rows["conversion"].block == "Menu\nTea & cake\nSoup of the day\nSee more."
+    digest = hashlib.sha256(PAGE.encode()).hexdigest()
+    length = len(PAGE.encode()) + len("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
+    assert rows["metadata"].block == (
+        "title: Café menu\nsource-warc-type: response\nsource-content-type: application/http;msgtype=response\n"
+        f"source-warc-payload-digest: sha256:{digest}\nsource-content-length: {length}\noutlink: /more?x=1&y=2\n"
+    )
+    assert {r.date for r in rows.values()} == {"2024-05-06T07:08:09Z"}
+
+
+def test_responses_read_from_files_derive_the_same(spark):
+    rows = [(1, "http://a/", PAGE), (2, "", "a\r\n\r\nb<p>c"), (None, None, None), (4, "http://d/", "é" * 9000)]
+    source = warc.responses(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    path = fresh_path(spark, "warc-test")
+    warc.write_responses(source.repartition(2), path)
+    for f in glob.glob(re.sub("^file:(//)?", "", path) + "/part-*"):
+        for headers, block in parse(open(f, "rb").read()):
+            assert headers["Content-Type"].startswith("application/http") and block.startswith(b"HTTP/1.1 200 OK\r\n")
+    key = lambda r: (r.record_id, r.target_uri, str(r.page_id), r.type, r.block, sorted(r.source.items()))
+    read = sorted(map(key, warc.derive(warc.read_responses(spark, path)).collect()))
+    assert read == sorted(map(key, warc.derive(source).collect())) and len(read) == 8
