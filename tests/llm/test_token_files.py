@@ -7,6 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakeshore.llm import token_files as tf
@@ -63,3 +64,12 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     files = tf.write_token_files(docs, fresh_path(spark, "t"), PATH)
     assert tf.read_token_files(files).count() == 0
+
+
+def test_rows_that_share_an_id_go_by_a_hash_of_their_text(spark):
+    rows = [(2, f"text {k}") for k in range(40)] + [(2, "text 7"), (None, "b"), (None, "a"), (1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = docs.orderBy("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))), "text").collect()
+    files = tf.write_token_files(docs.repartition(4), fresh_path(spark, "t"), PATH)
+    got = sorted(tf.read_token_files(files).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.ids_crc32) for r in got] == [(d, e[3]) for (d, t) in want for e in _expected([(d, t)])]
