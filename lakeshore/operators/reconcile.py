@@ -55,50 +55,52 @@ def _resolve(df: DataFrame, names: Sequence[str]) -> list[Column]:
     return [F.col(by_lower[n.lower()]) for n in names]
 
 
-KEY_PARTS = ("_k0", "_k1")  # no replicated table has a longer key
-
-
-def _tagged_keys(pairs: Sequence[ReconcilePair]) -> DataFrame:
-    """table_name, key parts as text, in_source, in_copy (0 or 1) of all rows of all pairs.
+def _tagged_keys(pairs: Sequence[ReconcilePair]) -> tuple[DataFrame, list[str]]:
+    """Number of the pair, key parts as text, _in_source, _in_copy (0 or 1) of all rows of all
+    pairs, and the names of the part columns.
 
     Parts become text only here, above the scans, so source queries still read the
-    plain key columns. Texts of numbers and dates are unique; a NULL part stays NULL.
+    plain key columns. Texts of numbers and dates are unique; a NULL part stays NULL, and
+    what a shorter key lacks is empty.
     """
-    width = max([len(KEY_PARTS), *(len(p.keys) for p in pairs)])
-    names = [f"_k{i}" for i in range(width)]
+    names = [f"_k{i}" for i in range(max(len(p.keys) for p in pairs))]
 
-    def side(pair: ReconcilePair, df: DataFrame, in_copy: int) -> DataFrame:
-        parts = [c.cast("string") for c in _resolve(df, pair.keys)]
-        null_part = any_null(parts)
-        parts += [F.lit("")] * (width - len(parts))
+    def side(i: int, df: DataFrame, in_copy: int) -> DataFrame:
+        parts = [c.cast("string") for c in _resolve(df, pairs[i].keys)]
+        parts += [F.lit("")] * (len(names) - len(parts))
         return df.select(
-            F.lit(pair.table_name).alias("table_name"),
-            key_text(parts[: len(pair.keys)]).alias("pk"),
-            null_part.alias("_null_part"),
+            F.lit(i).alias("_table"),
             *[c.alias(n) for c, n in zip(parts, names)],
             F.lit(1 - in_copy).cast("bigint").alias("_in_source"),
             F.lit(in_copy).cast("bigint").alias("_in_copy"),
         )
 
-    return reduce(DataFrame.unionByName, [side(p, df, i) for p in pairs for i, df in enumerate((p.source, p.copy))])
+    sides = [side(i, df, k) for i, p in enumerate(pairs) for k, df in enumerate((p.source, p.copy))]
+    return reduce(DataFrame.unionByName, sides), names
 
 
 def reconciled_keys(pairs: Sequence[ReconcilePair]) -> DataFrame:
     """(table_name, pk, source_count, bronze_count, missing_in) of every key of every table.
 
-    ``missing_in`` is NULL for a key that both sides hold. One shuffle in all.
+    ``missing_in`` is NULL for a key that both sides hold. One shuffle in all, of a small
+    number, the key parts and two counts.
     """
-    tagged = _tagged_keys(pairs)
-    parts = [c for c in tagged.columns if c.startswith("_k")]
-    counted = tagged.groupBy("table_name", "pk", "_null_part", *parts).agg(
+    tagged, names = _tagged_keys(pairs)
+    counted = tagged.groupBy("_table", *names).agg(
         F.sum("_in_source").alias("source_count"), F.sum("_in_copy").alias("bronze_count")
     )
     missing = (
-        F.when(F.col("_null_part"), F.lit("both"))
+        F.when(any_null(names), F.lit("both"))
         .when(F.col("bronze_count") == 0, F.lit("target"))
         .when(F.col("source_count") == 0, F.lit("source"))
     )
-    return counted.select("table_name", "pk", "source_count", "bronze_count", missing.alias("missing_in"))
+    by_width = {len(p.keys): key_text(names[: len(p.keys)]) for p in pairs}
+    widths = F.array(*[F.lit(len(p.keys)) for p in pairs])
+    pk = F.coalesce(*[F.when(F.get(widths, F.col("_table")) == w, text) for w, text in by_width.items()])
+    table_name = F.get(F.array(*[F.lit(p.table_name) for p in pairs]), F.col("_table"))
+    return counted.select(
+        table_name.alias("table_name"), pk.alias("pk"), "source_count", "bronze_count", missing.alias("missing_in")
+    )
 
 
 def _texts_may_repeat(pairs: Sequence[ReconcilePair]) -> bool:
