@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeshore.llm.common import written
@@ -25,11 +25,14 @@ def connected_components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         larger = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = written(larger.where("a <> b").distinct(), "links-large")
+        edges = written(larger.where("a <> b"), "links-large")  # no more than before; the next step drops repeats
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
         smaller = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = written(smaller.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links-small")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        seen = Observation()
+        edges = smaller.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        edges = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("of"))
+        edges = written(edges, "links-small")
+        now = seen.get
         if now == mark:
             break
         mark = now

@@ -10,8 +10,8 @@ so a signature is one sliding view and a minimum.
 Documents with equal sets are one node. Nodes that share a band of the signature
 are candidates. Groups can be large, so pairs are not listed group by group:
 
-1. in several rounds every node is compared with one leader of each of its groups,
-   a number of pairs linear in the nodes, and components are formed;
+1. every node is compared with ``LEADER_ROUNDS`` leaders of each of its groups, a number
+   of pairs linear in the nodes, and components are formed;
 2. in groups that still hold more than one component, the nodes outside the
    group's largest component are compared with all nodes of other components, in
    blocks of bounded size inside tasks. Two nodes of one component need no
@@ -49,8 +49,9 @@ from lakeshore.llm.words import hash_words, mix, text_buffer, window_hashes, wor
 
 BANDS, ROWS = 22, 5
 CIRCLE = 1 << 22  # places the shingles are dealt onto
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 3  # nodes of a band that all of its nodes are compared with
 MINORS, MEMBERS = 256, 1024  # nodes of the two sides of a block
+HITS = 1 << 20  # shingles met in the members of a block that are counted at a time
 CROWD = 1024  # nodes of a band that are compared in blocks
 FEW = 64  # nodes that share a rare shingle and are compared pair by pair
 COUNTERS = 1 << 20  # for the counts that tell which shingles are rare
@@ -153,17 +154,21 @@ def _block(percent: int):
         if not len(minors) or not sets:
             return pd.DataFrame([], columns=["a", "b"])
         sizes = np.array([len(s) for s in sets])
-        owner = np.repeat(np.arange(len(sets)), sizes)
         flat = np.concatenate(sets)
         order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
+        flat, owner = flat[order], np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[order]
+        del order
         out = []
         for node, component, shingles in zip(minors.node, minors.component, minors.shingles, strict=True):
             s = np.frombuffer(shingles, np.uint64)
             lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
             n = hi - lo
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            both = np.bincount(owner[at], minlength=len(sets))
+            both = np.zeros(len(sets), np.int64)
+            step = max(1, HITS // len(sets))  # a shingle has one hit in a member at most
+            for k in range(0, len(s), step):
+                first, m = lo[k : k + step], n[k : k + step]
+                at = np.repeat(first - np.cumsum(m) + m, m) + np.arange(m.sum())
+                both += np.bincount(owner[at], minlength=len(sets))
             near = 100 * both >= percent * (sizes + len(s) - both)
             out += [
                 (node, members.node.iloc[j]) for j in np.flatnonzero(near) if members.component.iloc[j] != component
@@ -215,24 +220,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, per_ba
     sets = written(
         texts.mapInArrow(_sets(shingle), "node binary, shingles binary").dropDuplicates(["node"]), "near-sets"
     )
-    links = written(nodes.sparkSession.createDataFrame([], "a binary, b binary"), "near-links")
-    component = None
-    for turn in range(LEADER_ROUNDS):
-        placed = _placed(member, component)
-        order = F.xxhash64("node", F.lit(turn))
-        leaders = placed.groupBy("band").agg(
-            F.min_by(F.struct("node", "component"), order).alias("lead"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        )
-        pairs = (
-            placed.join(leaders.where("low <> high"), "band")
-            .where("component <> lead.component")
-            .select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
-            .distinct()
-        )
-        links = written(links.unionByName(_confirm(pairs, sets, percent)), "near-links")
-        component = written(connected_components(links), "near-components")
+    links = written(_confirm(_led_pairs(member), sets, percent), "near-links")
+    component = written(connected_components(links), "near-components")
     links = links.unionByName(_rest(_placed(member, component), sets, percent))
     component = connected_components(links)
     found = nodes.join(component, "node", "left").select(
@@ -273,10 +262,17 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, p
     return kept.dropDuplicates(["near_id", "near_key"]).select("row.*")
 
 
-def _placed(member: DataFrame, component: DataFrame | None) -> DataFrame:
+def _led_pairs(member: DataFrame) -> DataFrame:
+    """Each node with the leaders of its bands, all leaders at once: a round for each would form
+    components again and again, and its many small stages cost more than the pairs it spares."""
+    leaders = [F.min_by("node", F.xxhash64("node", F.lit(turn))) for turn in range(LEADER_ROUNDS)]
+    led = member.join(member.groupBy("band").agg(F.array_distinct(F.array(*leaders)).alias("leads")), "band")
+    pairs = led.select("node", F.explode("leads").alias("lead")).where("node <> lead")
+    return pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+
+
+def _placed(member: DataFrame, component: DataFrame) -> DataFrame:
     """The members of bands with the component of each, a node of its own where it has no link."""
-    if component is None:
-        return member.withColumn("component", F.col("node"))
     return member.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
@@ -288,9 +284,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components that share a band."""
+    """Links between different components that share a band. Two nodes alone in one were compared as leaders."""
     placed = written(placed.select("band", "node", "component"), "near-placed")
-    groups = written(_mixed_groups(placed, "band"), "near-groups")
+    groups = written(_mixed_groups(placed, "band").where("n_all > 2"), "near-groups")
     links = _blocks(placed, "band", groups.where(F.col("n_all") <= CROWD), sets, percent)
     crowded = placed.join(groups.where(F.col("n_all") > CROWD).select("band"), "band", "left_semi")
     crowded = written(crowded.select("node", "component").distinct(), "near-crowded")

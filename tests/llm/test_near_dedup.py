@@ -142,3 +142,27 @@ def test_null_and_repeated_ids(spark):
         ("None", 38, "5", False), ("None", 39, "5", False), ("5", 38, "5", True), ("5", 38, "5", True), ("5", 38, "5", True),
         ("9", 39, "5", False), ("None", 0, "None", True), ("None", 0, "None", True),
     ])
+
+
+def test_components_are_formed_twice(spark, monkeypatch):
+    """All leaders are compared at once: no round of components for each of them."""
+    calls = []
+    monkeypatch.setattr(nd, "connected_components", lambda links: calls.append(1) or connected_components(links))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, f"x{i}"])) for i in range(6)] + [(9, "other words of its own")]
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute(rows))
+    assert len(calls) == 2
+
+
+@pytest.mark.parametrize("hits", [1, 7, 1 << 20])
+def test_block_counts_in_steps(monkeypatch, hits):
+    monkeypatch.setattr(nd, "HITS", hits)
+    rng = random.Random(3)
+    sets = [set(range(40)) - {rng.randrange(40) for _ in range(rng.randrange(9))} for _ in range(30)]
+    raw = [np.sort(np.array(list(s), np.uint64)).tobytes() for s in sets]
+    row = lambda k, minor: {"node": k, "component": k, "minor": minor, "shingles": raw[k]}
+    rows = [row(k, True) for k in range(10)] + [row(k, False) for k in range(30)]
+    got = nd._block(85)(nd.pd.DataFrame(rows))
+    want = {(i, j) for i in range(10) for j in range(30) if (max(i, j), min(i, j)) in _similar(sets, 85)}
+    assert set(got.itertuples(index=False, name=None)) == want
