@@ -99,3 +99,33 @@ def test_one_pass_gives_both_reports(spark):
     assert rows(totals_report(found, ["t", "none"])) == [("none", 0, 0, True), ("t", 4, 4, True)]
     want = [("t", "2|y|z", "source"), ("t", "3|w", "target"), ("t", "4|", "target"), ("t", "5|q", "target")]
     assert rows(key_report(found)) == rows(key_reconciliation(pairs)) == want
+
+
+def test_totals_group_no_key(spark):
+    """Rows are counted by table, with NULL and repeated keys; keys are neither shuffled nor held."""
+    from lakeshore.operators.reconcile import ReconcilePair, count_reconciliation
+
+    copy = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b")], "k int, t string")
+    source = spark.createDataFrame([(1, "a"), (2, None)], "k long, t string")
+    empty = copy.limit(0)
+    totals = count_reconciliation(
+        [ReconcilePair("x", copy, source, ("k", "t")), ReconcilePair("y", source, source, ("k",)), ReconcilePair("z", empty, empty, ("k",))]
+    )
+    assert sorted(tuple(r) for r in totals.collect()) == [("x", 2, 3, False), ("y", 2, 2, True), ("z", 0, 0, True)]
+    assert "_k0" not in totals._jdf.queryExecution().toString()
+
+
+def test_whole_number_keys_stay_numbers(spark):
+    from lakeshore.operators.reconcile import ReconcilePair, _tagged_keys, key_reconciliation
+
+    ints = spark.createDataFrame([(1, 7), (12, 3), (None, 4)], "a int, b long")
+    longs = spark.createDataFrame([(1, 7), (1, 23)], "a long, b long")
+    texts = spark.createDataFrame([(5, "0"), (6, "")], "a int, b string")
+    pair = ReconcilePair("n", ints, longs, ("a", "b"))
+    single = ReconcilePair("s", ints, longs, ("a",))
+    assert [t for _, t in _tagged_keys([pair, single])[0].dtypes][:3] == ["int", "bigint", "bigint"]
+    mixed = [pair, single, ReconcilePair("t", texts, texts.limit(0), ("a", "b"))]
+    assert [t for _, t in _tagged_keys(mixed)[0].dtypes][:3] == ["int", "bigint", "string"]
+    want = {("n", "12|3", "source"), ("n", "1|23", "target"), ("n", "|4", "both"), ("s", "12", "source"), ("s", None, "both")}
+    assert {tuple(r) for r in key_reconciliation([pair, single]).collect()} == want
+    assert {tuple(r) for r in key_reconciliation(mixed).collect()} == want | {("t", "5|0", "source"), ("t", "6|", "source")}
