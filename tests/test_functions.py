@@ -103,3 +103,28 @@ def test_epoch_literal_keeps_timestamp_type(spark):
     assert [f.dataType.simpleString() for f in r.schema.fields] == ["timestamp_ntz", "timestamp"]
     v = r.first()
     assert v.ntz == dt.datetime(1970, 1, 1)
+
+
+def test_packed_key_is_equal_where_the_texts_are(spark):
+    from lakeshore.functions.keys import packed_join_key, packed_key
+
+    i = "0a" * 32
+    texts = [i, i.upper(), "1" * 64, "g" * 64, "a", "", "~1", "0" * 63, "00", "é", chr(0)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "k string")
+    got = {r.k: bytes(r.p) if r.p is not None else None for r in df.select("k", packed_key("k").alias("p")).collect()}
+    assert got[None] is None and got[i] == bytes([10]) * 32 and len(got["1" * 64]) == 32
+    assert len(set(got.values())) == len(texts) + 1
+    nulls = spark.range(20).select(packed_join_key(F.lit(None).cast("binary"), ["id"]).alias("p")).collect()
+    assert len({bytes(r.p) for r in nulls}) == 20 and all(len(r.p) < 32 for r in nulls)
+
+
+def test_ids_travel_packed_in_the_report(spark):
+    from lakeshore.plans.serve import order_lines, orders_with_parties
+    from lakeshore.queries import CTX, _orders
+    from lakeshore.plans.conform import conform_addresses, conform_customers
+    from lakeshore.sources import standins as S
+    from tests.conftest import SF_SMOKE
+
+    parties = conform_customers(S.customer(spark, SF_SMOKE), CTX), conform_addresses(S.address(spark, SF_SMOKE), CTX)
+    lines = order_lines(orders_with_parties(_orders(spark, SF_SMOKE), *parties, CTX))
+    assert lines.agg(F.max(F.octet_length("_p_key"))).first()[0] == 32
