@@ -15,7 +15,8 @@ are candidates. Groups can be large, so pairs are not listed group by group:
 2. in groups that still hold more than one component, the nodes outside the
    group's largest component are compared with all nodes of other components, in
    blocks of bounded size inside tasks. Two nodes of one component need no
-   comparison: a link between them would change nothing;
+   comparison: a link between them would change nothing. What is found links
+   components, and only these are joined further;
 3. nodes of groups beyond ``CROWD`` meet by their rarest shingles instead, of which
    two sets that can be linked share one for certain, so a passage that thousands
    of documents share does not send their sets to each other.
@@ -132,7 +133,7 @@ def _sets(shingle: int):
     return run
 
 
-def _verified(percent: int):
+def _verified(percent: int, ends: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -140,13 +141,13 @@ def _verified(percent: int):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(ends).rename_columns(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def _block(percent: int):
-    """Links between the minors of a block and its members, of different components."""
+    """Links between the components of a block's minors and of its members."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         minors, members = rows[rows.minor], rows[~rows.minor]
@@ -158,8 +159,9 @@ def _block(percent: int):
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[order]
         del order
-        out = []
-        for node, component, shingles in zip(minors.node, minors.component, minors.shingles, strict=True):
+        parts = members.component.to_numpy()
+        out = set()
+        for component, shingles in zip(minors.component, minors.shingles, strict=True):
             s = np.frombuffer(shingles, np.uint64)
             lo, hi = np.searchsorted(flat, s, "left"), np.searchsorted(flat, s, "right")
             n = hi - lo
@@ -170,10 +172,8 @@ def _block(percent: int):
                 at = np.repeat(first - np.cumsum(m) + m, m) + np.arange(m.sum())
                 both += np.bincount(owner[at], minlength=len(sets))
             near = 100 * both >= percent * (sizes + len(s) - both)
-            out += [
-                (node, members.node.iloc[j]) for j in np.flatnonzero(near) if members.component.iloc[j] != component
-            ]
-        return pd.DataFrame(out, columns=["a", "b"])
+            out.update((component, other) for other in parts[near] if other != component)
+        return pd.DataFrame(list(out), columns=["a", "b"])
 
     return run
 
@@ -220,13 +220,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, percent: int = 85, per_ba
     sets = written(
         texts.mapInArrow(_sets(shingle), "node binary, shingles binary").dropDuplicates(["node"]), "near-sets"
     )
-    links = written(_confirm(_led_pairs(member), sets, percent), "near-links")
-    component = written(connected_components(links), "near-components")
-    links = links.unionByName(_rest(_placed(member, component), sets, percent))
-    component = connected_components(links)
-    found = nodes.join(component, "node", "left").select(
-        "node", "least_id", F.coalesce("component", "node").alias("component")
-    )
+    led = connected_components(_confirm(_led_pairs(member), sets, percent))
+    joined = connected_components(_rest(_placed(member, led), sets, percent))
+    found = _placed(nodes.select("node", "least_id"), led).withColumnRenamed("component", "part")
+    found = found.join(joined.withColumnRenamed("node", "part"), "part", "left")
+    found = found.select("node", "least_id", F.coalesce("component", "part").alias("component"))
     found = written(found, "near-found")
     ids = found.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_node = found.join(ids, "component").select("node", "component", "component_id")
@@ -272,31 +270,32 @@ def _led_pairs(member: DataFrame) -> DataFrame:
 
 
 def _placed(member: DataFrame, component: DataFrame) -> DataFrame:
-    """The members of bands with the component of each, a node of its own where it has no link."""
+    """The rows of ``member`` with the component of each node, itself where it has no link."""
     return member.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, ends: tuple[str, str] = ("a", "b")) -> DataFrame:
+    """The pairs of nodes (a, b) that are similar enough, or those two columns of theirs that ``ends`` names."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     near = F.least(F.length("left"), F.length("right")) * 100 >= F.greatest(F.length("left"), F.length("right")) * percent
-    return pairs.join(left, "a").join(right, "b").where(near).mapInArrow(_verified(percent), "a binary, b binary")
+    return pairs.join(left, "a").join(right, "b").where(near).mapInArrow(_verified(percent, ends), "a binary, b binary")
 
 
 def _rest(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components that share a band. Two nodes alone in one were compared as leaders."""
+    """Links between components that share a band. Two nodes alone in one were compared as leaders."""
     placed = written(placed.select("band", "node", "component"), "near-placed")
     groups = written(_mixed_groups(placed, "band").where("n_all > 2"), "near-groups")
-    links = _blocks(placed, "band", groups.where(F.col("n_all") <= CROWD), sets, percent)
-    crowded = placed.join(groups.where(F.col("n_all") > CROWD).select("band"), "band", "left_semi")
-    crowded = written(crowded.select("node", "component").distinct(), "near-crowded")
-    if crowded.isEmpty():
-        return links.distinct()
-    return links.unionByName(_crowded_links(crowded, sets, percent)).distinct()
+    spread = _spread(placed, "band", groups.where(F.col("n_all") <= CROWD))
+    crowds = groups.where(F.col("n_all") > CROWD).select("band")
+    if crowds.isEmpty():
+        return _blocks(spread, sets, percent)
+    crowded = written(placed.join(crowds, "band", "left_semi").select("node", "component").distinct(), "near-crowded")
+    return _crowded_links(crowded, sets, percent, spread)
 
 
-def _crowded_links(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between nodes (node, component) of crowded bands.
+def _crowded_links(crowded: DataFrame, sets: DataFrame, percent: int, spread: DataFrame | None = None) -> DataFrame:
+    """Links between the components of nodes (node, component) of crowded bands, and of the blocks of ``spread``.
 
     Two sets as similar as a link needs share one of their rarest shingles, so many of each
     as the other may lack and one more. So crowded nodes meet by these instead of by band:
@@ -313,11 +312,15 @@ def _crowded_links(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFra
         one.join(other, "token")
         .where((F.col("one.node") < F.col("other.node")) & (F.col("one.component") != F.col("other.component")))
         .where(F.least(size, other_size) * 100 >= F.greatest(size, other_size) * percent)
-        .select(F.col("one.node").alias("a"), F.col("other.node").alias("b"))
+        .select(
+            F.col("one.node").alias("a"), F.col("other.node").alias("b"),
+            F.col("one.component").alias("part"), F.col("other.component").alias("other_part"),
+        )
         .distinct()
     )
-    links = _confirm(pairs, held.select("node", "shingles"), percent)
-    return links.unionByName(_blocks(rare, "token", groups.where(F.col("n_all") > FEW), sets, percent))
+    links = _confirm(pairs, held.select("node", "shingles"), percent, ("part", "other_part"))
+    many = _spread(rare, "token", groups.where(F.col("n_all") > FEW))
+    return links.unionByName(_blocks(many if spread is None else spread.unionByName(many), sets, percent))
 
 
 def _rare_shingles(held: DataFrame, percent: int) -> DataFrame:
@@ -367,36 +370,35 @@ def _mixed_groups(members: DataFrame, key: str) -> DataFrame:
     return groups.where("parts > 1")
 
 
-def _blocks(members: DataFrame, key: str, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of a group, block by block."""
+def _spread(members: DataFrame, key: str, groups: DataFrame) -> DataFrame:
+    """kind, key, i, j, node, component, minor: the blocks (i, j) of a group that a node comes to, with
+    every block of its column as a member and, outside the largest component, of its row as a minor."""
 
     def block(count: Column, size: int) -> Column:
         return F.ceil(count / size).cast("int")
 
+    def places(number: Column, place) -> Column:
+        return F.transform(F.sequence(F.lit(0), number - 1), place)
+
+    def at(i: Column, j: Column, minor: bool) -> Column:
+        return F.struct(i.alias("i"), j.alias("j"), F.lit(minor).alias("minor"))
+
+    rows, cols = block(F.col("n_minor"), MINORS), block(F.col("n_all"), MEMBERS)
+    h = F.xxhash64("node", F.lit("block"))
+    row, col = F.pmod(h, rows).cast("int"), F.pmod(h, cols).cast("int")
+    as_member = places(rows, lambda i: at(i, col, False))
+    as_minor = F.when(F.col("component") != F.col("main"), places(cols, lambda j: at(row, j, True)))
+    held = F.concat(as_member, F.coalesce(as_minor, F.slice(as_member, 1, 0)))
     spread = members.join(groups, key).select(
-        key,
-        "node",
-        "component",
-        (F.col("component") != F.col("main")).alias("is_minor"),
-        block(F.col("n_minor"), MINORS).alias("rows"),
-        block(F.col("n_all"), MEMBERS).alias("cols"),
-        F.xxhash64("node", F.lit("block")).alias("h"),
-    )
-    as_member = spread.select(
-        key, "node", "component", F.lit(False).alias("minor"),
-        F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"),
-        F.pmod("h", "cols").cast("int").alias("j"),
-    )
-    as_minor = spread.where("is_minor").select(
-        key, "node", "component", F.lit(True).alias("minor"),
-        F.pmod("h", "rows").cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"),
+        F.lit(key).alias("kind"), F.col(key).alias("key"), "node", "component", F.explode(held).alias("at")
     )
+    return spread.select("kind", "key", "node", "component", "at.*")
+
+
+def _blocks(spread: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of a group, block by block."""
     return (
-        as_member.unionByName(as_minor)
-        .join(sets, "node")
-        .groupBy(key, "i", "j")
-        .applyInPandas(_block(percent), "a binary, b binary")
+        spread.join(sets, "node").groupBy("kind", "key", "i", "j").applyInPandas(_block(percent), "a binary, b binary")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.llm import near_dedup as nd
 from lakeshore.llm.common import table, written
+from lakeshore.llm import components
 from lakeshore.llm.components import connected_components
 from tests.conftest import SF_SMOKE
 
@@ -166,3 +167,23 @@ def test_block_counts_in_steps(monkeypatch, hits):
     got = nd._block(85)(nd.pd.DataFrame(rows))
     want = {(i, j) for i in range(10) for j in range(30) if (max(i, j), min(i, j)) in _similar(sets, 85)}
     assert set(got.itertuples(index=False, name=None)) == want
+
+
+def test_rest_links_components(spark):
+    """What is found after the leaders links components, each pair of them once a block, so only these are joined."""
+    sets = [set(range(40)) - {k} for k in range(12)]
+    nodes = _nodes(spark, sets)
+    parts = [(bytes([7]) + k.to_bytes(4, "big"), bytes([8 + k % 2])) for k in range(12)]
+    placed = nodes.join(spark.createDataFrame(parts, "node binary, component binary"), "node").withColumn("band", F.lit(5))
+    got = [sorted((bytes(r.a), bytes(r.b))) for r in nd._rest(placed, nodes, 85).collect()]
+    assert got == [[bytes([8]), bytes([9])]]
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    """Links that are stars already are written, looked at once and not handed on."""
+    names = []
+    monkeypatch.setattr(components, "written", lambda df, name: names.append(name) or written(df, name))
+    links = [(k, 1) for k in range(2, 30)] + [(50, 40), (40, 50)]
+    got = {(r.node, r.component) for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {(k, 1) for k in range(1, 30)} | {(40, 40), (50, 40)}
+    assert names == ["links", "links-least"]
