@@ -45,7 +45,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one
 SEQUENCE = 2048  # ids in a sequence
 BATCH = 256  # sequences in a record batch
 END_ID = 0
-_MEMO = 400_000  # pre-tokens whose ids a worker remembers, twice as many at most
+_MEMO = 100_000  # pre-tokens whose ids a worker remembers, twice as many at most
 _ENCODERS: dict[str, BatchEncoder] = {}
 
 

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from lakeshore.llm import token_files as tf
 from lakeshore.llm.common import fresh_path, table
-from lakeshore.llm.pretokens import character_classes
+from lakeshore.llm.pretokens import Memo, character_classes
 from tests.conftest import SF_SMOKE
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,3 +73,11 @@ def test_rows_that_share_an_id_go_by_a_hash_of_their_text(spark):
     files = tf.write_token_files(docs.repartition(4), fresh_path(spark, "t"), PATH)
     got = sorted(tf.read_token_files(files).collect(), key=lambda r: r.start)
     assert [(r.doc_id, r.ids_crc32) for r in got] == [(d, e[3]) for (d, t) in want for e in _expected([(d, t)])]
+
+
+def test_a_worker_remembers_few_pre_tokens():
+    """A worker lives on after its stage: what it remembers stays below some 40 MB."""
+    memo = Memo(tf._MEMO)
+    for a in range(0, 600_000, 50_000):
+        memo.get_all([b"%d" % k for k in range(a, a + 50_000)], lambda pieces: [b"1234"] * len(pieces))
+    assert len(memo.young) + len(memo.old) <= 250_000
