@@ -21,6 +21,7 @@ from lakeshore.functions import (
     text_attrs,
 )
 from lakeshore.functions.attrs import NUM_MAP
+from lakeshore.functions.keys import packed_ids, unpacked_ids
 
 
 def test_surrogate_key_is_sha256_of_tag_and_key(spark):
@@ -128,3 +129,20 @@ def test_ids_travel_packed_in_the_report(spark):
     parties = conform_customers(S.customer(spark, SF_SMOKE), CTX), conform_addresses(S.address(spark, SF_SMOKE), CTX)
     lines = order_lines(orders_with_parties(_orders(spark, SF_SMOKE), *parties, CTX))
     assert lines.agg(F.max(F.octet_length("_p_key"))).first()[0] == 32
+
+
+def test_packed_ids_come_back(spark):
+    """Surrogate ids become 32 bytes, in lists too; other texts under such names keep their value."""
+    sha = hashlib.sha256(b"x").hexdigest()
+    texts = [sha, sha.upper(), "", "x", "ü" * 40, "0" * 63, "g" * 64, None]
+    data = [(k, t, [(t, 1.5), None, (sha, None)] if k % 3 else None, {"a_id": t or "-"}) for k, t in enumerate(texts)]
+    schema = "n int, id string, items array<struct<some_fk: string, quantity: double>>, m_id map<string,string>"
+    df = spark.createDataFrame(data, schema)
+    packed = packed_ids(df)
+    assert packed.schema["id"].dataType.simpleString() == "binary"
+    sizes = packed.select("n", F.octet_length("id"), F.octet_length(F.element_at("items", -1)["some_fk"])).collect()
+    assert {(r[0], r[1]) for r in sizes if r[0] in (0, 3, 7)} == {(0, 32), (3, 34), (7, None)}
+    assert {r[2] for r in sizes} == {32, None}
+    back = unpacked_ids(packed)
+    assert back.dtypes == df.dtypes
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
