@@ -63,6 +63,7 @@ ANSWER_WORDS = 5
 RUN = 39  # words in one piece that are a copy by themselves: PARAPHRASE of a full passage
 QUERIES = 4096
 SKETCH = 1024  # places of the hashed word set of a passage
+PAIRS = 1 << 14  # windows and passages whose words are laid beside each other at a time
 
 SETS = 8  # sets of queries that are broadcast at a time
 
@@ -372,6 +373,13 @@ def _short_candidates(
                 yield at, size, p, np.einsum("ij,ij->i", sums, passages.vectors[p]) / norms
 
 
+def _sliced(found: Iterator[tuple]) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+    """The candidates, ``PAIRS`` of them at a time."""
+    for block, size, which, cosines in found:
+        for a in range(0, len(block), PAIRS):
+            yield block[a : a + PAIRS], size, which[a : a + PAIRS], cosines[a : a + PAIRS]
+
+
 def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
     out: list[dict[int, dict]] = [{} for _ in range(len(texts))]
     data, offsets = text_buffer(texts)
@@ -383,7 +391,7 @@ def _leaks(texts: pa.Array, index: LatentIndex) -> list[list[dict]]:
     sketch_at = _terms(words) % SKETCH
     for passages in index.queries:
         short = _short_candidates(words, first, blocks, row_block, passages)
-        for block, size, which, cosines in chain(_candidates(blocks, passages), short):
+        for block, size, which, cosines in _sliced(chain(_candidates(blocks, passages), short)):
             row = np.searchsorted(row_block, block, side="right") - 1
             begin = first[row] + (block - row_block[row]) * BLOCK
             end = np.minimum(begin + size * BLOCK, first[row + 1])

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 
 from lakeshore.llm import decontamination as dc
 from lakeshore.llm.common import table
@@ -226,3 +230,20 @@ def test_odd_rows(spark):
         ("1", "[]"), ("2", "[]"), ("4", "[7]"), ("4", "[7]"), ("5", "[None]"), ("None", "[7]")]
     assert dc.with_leaks(docs.limit(0), items).count() == 0
     assert all(not r.leaks for r in dc.with_leaks(docs, items.limit(0)).collect())
+
+
+def test_memory_of_many_candidates():
+    """Every window is close to every passage in a space of one dimension; their words are not laid out all at once."""
+    rng = np.random.default_rng(8)
+    n = 300
+    words = [rng.integers(1 << 40, size=dc.PASSAGE) for _ in range(n)]
+    none, ones = np.zeros(0, np.int64), np.ones((n, 1), np.float32)
+    passages = dc.Passages([*range(n)], [*range(n)], words, [none] * n, ones, [0] * n, [dc.PASSAGE] * n, none, none)
+    index = dc.LatentIndex(np.zeros(dc.TERMS, np.int64), np.ones((1, 1), np.float32), [passages])
+    texts = pa.array([" ".join(f"w{i % 50}" for i in range(1024 * dc.BLOCK))])
+    tracemalloc.start()
+    try:
+        assert dc._leaks(texts, index) == [[]]
+        assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    finally:
+        tracemalloc.stop()

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from lakeshore.llm.common import table, written
+from lakeshore.session import BASE_CONF
 from tests.conftest import SF_SMOKE
 
 
@@ -52,6 +53,19 @@ def test_stages_by_their_own_input(spark):
     assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == sorted(want)
 
 
+def test_stages_bound_the_rows_of_a_batch(spark):
+    """A stage that is called by itself, too, hands a Python worker no more texts at once than the library's settings say."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.set(key, "10000")
+        try:
+            stage(spark, docs.selectExpr("*", "'x' AS source"), SF_SMOKE)
+            assert spark.conf.get(key) == BASE_CONF[key], name
+        finally:
+            spark.conf.set(key, BASE_CONF[key])
+
+
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
