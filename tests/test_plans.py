@@ -9,14 +9,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeshore.context import PipelineContext
+from lakeshore.functions.keys import range_bucket
 from lakeshore.operators.reconcile import ReconcilePair, key_reconciliation
 from lakeshore.plans.conform import conform_addresses, conform_customers, conform_orders
 from lakeshore.plans.jobs import _stale_gold_buckets
-from lakeshore.plans.serve import flatten_orders, order_references
+from lakeshore.plans.serve import flatten_orders, order_references, source_orders
 from lakeshore.queries import _products
+from lakeshore.session import JOB_CONF
 from lakeshore.sources import standins as S
 from lakeshore.specs import ERP_TABLES
-from tests.conftest import SF_SMOKE
+from tests.conftest import SF_SMOKE, rows
 
 CTX = PipelineContext()
 
@@ -115,3 +117,89 @@ def test_stand_ins_never_read_document_text(spark):
     for line in plan.splitlines():
         if "ReadSchema" in line and "documents" in line:
             assert "text:" not in line
+
+
+@contextlib.contextmanager
+def settings(spark, **conf):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+def _small_star(spark):
+    """Orders in three buckets: shared and repeated products, one unknown, NULL keys, an order without lines."""
+    lines = lambda *ps: [(f"l{i}", p, float(i), 1.5, 0.0) for i, p in enumerate(ps)]
+    orders = spark.createDataFrame(
+        [
+            ("o1", "c1", "a1", "a2", lines("p1", "p2", "p1"), 1),
+            ("o2", "c2", None, "a1", lines("p1", None, "gone"), 1),
+            ("o3", None, "a3", "a3", lines("p3"), 2),
+            ("o4", "c1", "a1", "a1", lines("p3", "p2"), 3),
+            ("o5", "c1", "a1", "a1", [], 3),
+        ],
+        "id string, customer_fk string, shto_address_fk string, blto_address_fk string, line_items array<struct<"
+        "line_item_id string, product_fk string, quantity double, unit_price double, discount double>>, _bucket int",
+    ).selectExpr(
+        "*", "date'2024-01-01' as order_date", "true as was_online_order", "id as shipping_method",
+        "map('ship_date', timestamp_ntz'2024-01-05') as _date_attrs", f"'{CTX.source_id}' as _source_id",
+    )
+    products = spark.createDataFrame(  # p2 comes twice: so do its lines
+        [(p, f"name {p} {i}", "sku", 1.0, None, None, "m", {"en": "text"}) for i, p in enumerate(["p1", "p2", "p2", "p3", None])],
+        "id string, name string, sku string, list_price double, category_name string, parent_category_name string, "
+        "model_name string, model_descriptions map<string, string>",
+    )
+    customers = spark.createDataFrame([("c1", "one", "x"), ("c2", "two", "y"), (None, "none", "z")], "id string, name string, company string")
+    addresses = spark.createDataFrame(
+        [(a, f"line {a}", a, None, "XX", "000") for a in ("a1", "a2", None)],
+        "id string, full_address string, city string, state string, country string, postcode string",
+    )
+    return orders, products, customers, addresses
+
+
+def test_references_are_short_and_shuffled_once(spark):
+    refs = order_references(_small_star(spark)[0])
+    plan = plan_of(refs)
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(_bucket" in plan
+    got = refs.groupBy("dimension").agg(F.count("*"), F.min(F.octet_length("ref_key")), F.max(F.octet_length("ref_key")))
+    assert rows(got) == [("addresses", 4, 16, 16), ("customers", 3, 16, 16), ("products", 6, 16, 16)]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_gold_joined_bucket_by_bucket_equals_the_plain_join(spark, broadcast):
+    orders, *dims = _small_star(spark)
+    expected = rows(flatten_orders(orders, *dims, CTX, carry=("_bucket",)))
+    assert len(expected) == 11  # nine lines, two of them with the product that comes twice
+    with settings(spark, **JOB_CONF, **({} if broadcast else NO_BROADCAST)):
+        refs = order_references(source_orders(orders, CTX)).localCheckpoint()
+        gold = flatten_orders(orders, *dims, CTX, carry=("_bucket",), references=refs)
+        plan = plan_of(gold)
+        assert rows(gold) == expected
+    above = plan[: plan.index("Generate inline")].split("SortMergeJoin")[0]
+    assert "Exchange" not in above  # no line is shuffled
+    if not broadcast:
+        exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        # the fact and four lookups by bucket; before that each lookup's two sides by key
+        assert [sum(f"({k}" in x for x in exchanges) for k in ("_bucket", "ref_key")] == [5, 8] and len(exchanges) == 13
+
+
+def test_orders_conformed_by_bucket_are_shuffled_as_narrow_rows(spark):
+    hdr, det = S.salesorderheader(spark, SF_SMOKE), S.salesorderdetail(spark, SF_SMOKE)
+    bucket = range_bucket("SalesOrderID", 100)
+    cols = ["id", "customer_fk", "order_date", F.sort_array("line_items").alias("line_items"), "_source_modstamp"]
+    for since in (None, "2000-01-01 00:00:00"):
+        with settings(spark, **JOB_CONF, **NO_BROADCAST):
+            out = conform_orders(hdr, det, CTX, changed_since=since, bucket=bucket)
+            plan = plan_of(out)
+            got = rows(out.select(*cols, "_bucket"))
+        assert "Exchange" not in plan[: plan.index("SortMergeJoin")] and "sha2" not in plan[plan.index("SortMergeJoin") :]
+        assert plan.count("Exchange hashpartitioning(_bucket") >= 2
+        plain = conform_orders(hdr, det, CTX, changed_since=since, keep_natural_key=True)
+        assert got == rows(plain.select(*cols, bucket.alias("_bucket")))
